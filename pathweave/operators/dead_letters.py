@@ -37,7 +37,8 @@ def dead_letter_json(original: Column, code: Column, message: Column, ts_ms: Col
             topic.alias("sourceTopic"),
             partition.alias("sourcePartition"),
             offset.alias("sourceOffset"),
-            F.base64(original).alias("originalBytes"),
+            # base64() breaks long lines
+            F.replace(F.base64(original), F.lit("\r\n"), F.lit("")).alias("originalBytes"),
             F.make_valid_utf8(original.cast("string")).alias("originalText"),
         )
     )

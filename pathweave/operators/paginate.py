@@ -87,7 +87,7 @@ def split_to_json(
 ) -> DataFrame:
     """One row per page with the page as JSON bytes in ``value``: index, total, count, array.
 
-    Items keep their text, so ``1.0`` stays ``1.0``.
+    Numbers keep their kind, so ``1.0`` stays ``1.0``.
     """
     _check_page_size(page_size)
     _check_policy(on_non_array)

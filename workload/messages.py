@@ -13,7 +13,13 @@ from pathweave.sources.messages import to_envelope
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, spread over the cores when its file gives fewer splits than there are.
+
+    An input of cluster size has more splits than cores and is read without a shuffle.
+    """
+    df = prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _messages(df: DataFrame, id_column: str, body: Column) -> DataFrame:
