@@ -43,6 +43,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             took.append(time.perf_counter() - start)
         times[name] = round(statistics.median(took), 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
