@@ -7,18 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathweave.llm import exact_dedup, knn, simhash_dedup
+from pathweave.llm import exact_dedup, knn, line_dedup, packing, rule_quality, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in the packed sequences."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return rule_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of each group of equal texts stays."""
     return exact_dedup.dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, removed lines and digest of the remaining text of every document."""
+    out = line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -31,7 +47,10 @@ def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op4_rule_quality": op4_rule_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op8_simhash": op8_simhash,
     "op10_voronoi_knn": op10_voronoi_knn,
 }
