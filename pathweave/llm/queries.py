@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathweave.llm import exact_dedup, knn, line_dedup, packing, rule_quality, simhash_dedup
+from pathweave.llm import byte_bpe, exact_dedup, html_text, knn, line_dedup, packing, pii, rule_quality, simhash_dedup, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the bytes that they decode to."""
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for personal data."""
+    out = pii.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), "test corpus")
+    return out.select("doc_id", "text", "n_replaced", "kinds")
+
+
 def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return rule_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -35,11 +46,21 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, removed words and digest of the kept words of every document."""
+    return substring_dedup.dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all vectors for every vector whose id is divisible by 100."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -48,10 +69,14 @@ def op10_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_rule_quality": op4_rule_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_html_text": op7_html_text,
     "op8_simhash": op8_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_voronoi_knn": op10_voronoi_knn,
 }
 
@@ -78,4 +103,21 @@ WITH v AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op9_substring_dedup": r"""
+WITH w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM w, unnest(range(1, len(w) - 18)) AS r(i)
+), f AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS late FROM s
+), c AS (
+    SELECT DISTINCT doc_id, i + j AS k FROM f, range(0, 20) AS r(j) WHERE late
+), g AS (
+    SELECT doc_id, list(k) AS gone FROM c GROUP BY doc_id
+), k AS (
+    SELECT w.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+        list_filter(w, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)) AS kept
+    FROM w LEFT JOIN g USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k""",
 }
