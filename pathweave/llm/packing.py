@@ -26,7 +26,7 @@ CAPACITY = 4096
 CLASSES = 256
 END = 2
 _CACHED_WORDS = 400_000
-_BUCKET_ROWS = 50_000
+_BUCKET_ROWS = 2_000
 _state: dict = {}
 
 
