@@ -17,6 +17,7 @@ from workload.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "parse_guard", "required_paths", "items_by_page", "page_slices", "page_json", "event_leaves", "page_leaves",
     "entry_rows", "csv_encoded", "csv_decoded", "dead_letter_json", "flow_results",
+    "line_leaves", "rebuilt_lines",
 )
 
 
@@ -28,8 +29,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", cpus)
-        # small input: split it so that every core gets work
-        .config("spark.sql.files.maxPartitionBytes", "2m").config("spark.sql.files.openCostInBytes", "0")
+        # each test file is one row group, which one task reads: deal its rows over the cores first
+        .config("pathweave.input.partitions", cpus)
         .config("spark.driver.memory", "16g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

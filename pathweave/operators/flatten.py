@@ -20,38 +20,34 @@ EXCLUDE = "EXCLUDE"
 REPLACE_EMPTY_STRING = "REPLACE_EMPTY_STRING"
 NULL_POLICIES = (INCLUDE, EXCLUDE, REPLACE_EMPTY_STRING)
 
-#: Levels of nesting expanded by default.  Deeper rows are rejected as ``DEPTH``, never cut.
-DEFAULT_DEPTH = 16
+# All strings of a JSON text, and everything else that opens or closes no container.
+_NO_BRACKETS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\[\]{}"]++'
 
 FLAT_TYPE = "array<struct<path:string,leaf_type:string,value:string>>"
 
 
-def flatten_json(df: DataFrame, nulls: str = INCLUDE, max_depth: int = DEFAULT_DEPTH) -> DataFrame:
+def flatten_json(df: DataFrame, nulls: str = INCLUDE) -> DataFrame:
     """Add ``flat`` with the leaves of ``v``; empty containers leave no trace."""
-    leaves = _expand(None, F.col("v"), max_depth, _policy(nulls))
+    root = F.array(_node(F.lit(""), F.col("v")))
+    leaves = _leaves(root, nesting(F.to_json("v")), _policy(nulls), root=True)
     df = once(df, drop=("v",), flat=F.when(F.col("error").isNull(), leaves))
-    return _check_flat(df, max_depth)
+    return _check_flat(df)
 
 
-def flatten_pages(
-    pages: DataFrame, names: PageNames, nulls: str = INCLUDE, max_depth: int = DEFAULT_DEPTH
-) -> DataFrame:
+def flatten_pages(pages: DataFrame, names: PageNames, nulls: str = INCLUDE) -> DataFrame:
     """Add ``flat`` to each page: counters, then items as ``<array>.<index in page>.…``."""
-    policy = _policy(nulls)
-
-    def item(x: Column, i: Column) -> Column:
-        return _expand(F.concat(F.lit(names.array + "."), i.cast("string")), x, max_depth, policy)
-
+    items = F.transform("items", lambda x, i: _node(F.concat(F.lit(names.array + "."), i.cast("string")), x))
+    depth = F.array_max(F.transform("items", lambda x: nesting(F.to_json(x))))
     parts = {
         names.index: _counter(names.index, "page_index"),
         names.total: _counter(names.total, "total_pages"),
         names.count: _counter(names.count, "item_count"),
-        names.array: F.flatten(F.transform(F.col("items"), item)),
+        names.array: _leaves(items, depth, _policy(nulls), root=False),
     }
     # in name order, like the keys of every object below
     leaves = F.concat(*[parts[name] for name in sorted(parts)])
     pages = once(pages, drop=("items",), flat=F.when(F.col("error").isNull(), leaves))
-    return _check_flat(pages, max_depth)
+    return _check_flat(pages)
 
 
 def _counter(name: str, source: str) -> Column:
@@ -73,26 +69,51 @@ def children(v: Column) -> Column:
     return F.coalesce(fields, elements)
 
 
-def _expand(path: Column | None, v: Column, depth: int, policy: str, first: Column | None = None) -> Column:
-    # One lambda level per nesting level.  A leaf stops at its own level, so the run time
-    # follows the data and only the size of the expression follows the depth allowed.
-    here = F.lit("") if path is None else path
-    if depth == 0:
-        too_deep = _entry(F.lit(None).cast("string"), F.lit("container"), F.lit(None).cast("string"))
-        return bind(
-            children(v),
-            lambda kids: F.when(kids.isNull(), _leaf(here, v, policy)).when(F.size(kids) > 0, F.array(too_deep)),
-        )
+def nesting(text: Column) -> Column:
+    """How many containers a JSON text nests, 0 for a scalar."""
+    brackets = F.regexp_replace(text, _NO_BRACKETS, "")
+    # without its innermost containers a text nests one level less, and is much shorter
+    outer = F.regexp_replace(F.regexp_replace(brackets, r"\{\}|\[\]", ""), r"[\[{]", "(")
+
+    def step(at: Column, bracket: Column) -> Column:
+        now = at.getField("now") + F.when(bracket == "(", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(at.getField("most"), now).alias("most"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    deepest = F.aggregate(F.filter(F.split(outer, ""), lambda c: c != ""), start, step, lambda at: at.getField("most"))
+    return F.when(brackets == "", F.lit(0)).otherwise(1 + deepest)
+
+
+def _node(path: Column, v: Column, done: bool = False) -> Column:
+    return F.struct(path.alias("path"), v.alias("v"), F.lit(done).alias("done"))
+
+
+def _leaves(nodes: Column, depth: Column, policy: str, root: bool) -> Column:
+    """Leaves below ``nodes`` in order: each step of the fold replaces containers by what they hold.
+
+    There are as many steps as the row nests containers, and the expression has one level whatever
+    the row.  A leaf stays as it is once it is reached.
+    """
+
+    def expand(found: Column, level: Column) -> Column:
+        def one(node: Column) -> Column:
+            path, v = node.getField("path"), node.getField("v")
+
+            def below(child: Column) -> Column:
+                key = child.getField("key")
+                dotted = F.concat(path, F.lit("."), key)
+                if root:  # an empty first key adds nothing in front of the keys below it
+                    dotted = F.when((level == 1) | ((level == 2) & (path == "")), key).otherwise(dotted)
+                return _node(dotted, child.getField("value"))
+
+            opened = F.coalesce(F.transform(children(v), below), F.array(_node(path, v, done=True)))
+            return F.when(node.getField("done"), F.array(node)).otherwise(opened)
 
-    def below(child: Column) -> Column:
-        key, value = child.getField("key"), child.getField("value")
-        if path is None:
-            return _expand(key, value, depth - 1, policy, key)
-        # an empty first key adds nothing in front of the keys below it
-        dot = F.lit(".") if first is None else F.when(first == "", F.lit("")).otherwise(F.lit("."))
-        return _expand(F.concat(path, dot, key), value, depth - 1, policy)
+        return F.flatten(F.transform(found, one))
 
-    return F.coalesce(F.flatten(F.transform(children(v), below)), _leaf(here, v, policy))
+    levels = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
+    reached = F.aggregate(levels, nodes, expand)
+    return F.flatten(F.transform(reached, lambda n: _leaf(n.getField("path"), n.getField("v"), policy)))
 
 
 def _leaf(path: Column, v: Column, policy: str) -> Column:
@@ -137,18 +158,14 @@ def _entry(path: Column, leaf_type: Column, value: Column) -> Column:
     return F.struct(path.alias("path"), leaf_type.alias("leaf_type"), value.alias("value"))
 
 
-def _check_flat(df: DataFrame, max_depth: int) -> DataFrame:
-    """Reject rows that are too deep, and rows in which two leaves share a path.
+def _check_flat(df: DataFrame) -> DataFrame:
+    """Reject rows in which two leaves share a path.
 
-    Two leaves share a path when keys contain dots; which of them should win depends on the
-    order in the document, which a parsed Variant no longer has.
+    They do when keys contain dots; which of them should win depends on the order in the
+    document, which a parsed Variant no longer has.
     """
-    paths = F.col("flat.path")
-    deep = F.exists(paths, lambda p: p.isNull())
-    df = with_error(df, "DEPTH", F.when(deep, F.lit(f"Nesting deeper than {max_depth} levels")))
-    shared = F.size(F.array_distinct(paths)) < F.size("flat")
-    df = with_error(df, "CONFLICT", F.when(shared, F.lit("Several fields flatten to the same path")))
-    return df
+    shared = F.size(F.array_distinct("flat.path")) < F.size("flat")
+    return with_error(df, "CONFLICT", F.when(shared, F.lit("Several fields flatten to the same path")))
 
 
 def _policy(nulls: str) -> str:

@@ -1,13 +1,10 @@
 """Dotted-path leaves back to nested JSON.
 
-Leaves are taken in an order in which everything below one container is contiguous.  Each
+Leaves are sorted by their tokens, so that everything below one container is contiguous.  Each
 leaf then contributes the text between its predecessor and itself: it closes the containers
 the predecessor was in, opens its own, and writes its value.  The document is the
 concatenation.  All of this is local to the row.
 
-Flattened rows already are in such an order and take a short way (:func:`_ordered`).  Rows that
-are not (mapped fields, odd keys, paths that disagree) are sorted by their tokens first.
-
 A numeric segment is an array position only directly after a key; a leading one is a key.
 """
 
@@ -18,53 +15,52 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bind, json_string, once, with_error
 
-#: Nulls that may be written to fill array gaps of one row.  Beyond it the row is rejected:
-#: one path such as ``a.2000000000`` would otherwise need a document of gigabytes.
-MAX_PADDING = 10_000_000
-
-# Gap that is filled without counting the padding of the whole row first.
-_SMALL_GAP = 64
+# What the nulls of one document may come to: no string holds more bytes, so a path such as
+# ``a.2000000000`` cannot be written.
+_LONGEST = 2**31 - 1
+_NULL_BYTES = len("null,")
+# Stands for every position that no string could reach.
+_BEYOND = 2**40
 
 # Level number no path reaches.
-_SAME = 2**31 - 1
+_SAME = 10**9
 
 _MARK = "\x01"
 # A key and the numeric segment directly after it, which therefore is an array position.
 _KEY_POSITION = r"(^|\.)([^.]*)\.([0-9]+)(?=\.|\z)"
 
-_TOKENS = "array<struct<i:int,k:string>>"
+_TOKENS = "array<struct<i:bigint,k:string>>"
 
 
-def unflatten(df: DataFrame, column: str = "json", max_padding: int = MAX_PADDING) -> DataFrame:
+def unflatten(df: DataFrame, column: str = "json") -> DataFrame:
     """Add the JSON text of ``flat``.  NULL or empty ``flat`` gives ``{}``.
 
     Where paths disagree (a value and a container, or positions and keys, at one place) the
     later path in sort order wins.  A non-null value at an array position that a deeper path
-    needs as a container cannot be resolved; such rows get the error ``CONFLICT``.
+    needs as a container cannot be resolved; such rows get the error ``CONFLICT``.  Rows whose
+    array gaps would take more bytes than a string can have get ``GAP``.
     """
     flat = F.coalesce(F.col("flat"), F.array().cast("array<struct<path:string,leaf_type:string,value:string>>"))
-    general = bind(
-        F.sort_array(F.transform(flat, _tokenised)),
-        lambda s: F.coalesce(_draft(s, _SMALL_GAP), _resolved(s, max_padding)),
-    )
-    json = F.coalesce(_ordered(F.col("flat")), general)
-    df = once(df, **{column: F.when(F.col("error").isNull(), json)})
-    unresolved = F.when(F.col(column).isNull(), F.lit("Paths cannot be combined into one document"))
-    return with_error(df, "CONFLICT", unresolved)
+    agreed = bind(bind(F.sort_array(F.transform(flat, _tokenised)), _planned), _agreed)
+    df = once(df, _plan=F.when(F.col("error").isNull(), agreed))
+    df = with_error(df, "CONFLICT", F.when(F.col("_plan").isNull(), F.lit("Paths cannot be combined into one document")))
+    padding = F.aggregate("_plan.steps", F.lit(0).cast("bigint"), lambda total, s: total + s.getField("gap"))
+    df = with_error(df, "GAP", F.when(padding * _NULL_BYTES > _LONGEST, F.lit("Array gaps are longer than a document can be")))
+    return once(df, drop=("_plan",), **{column: F.when(F.col("error").isNull(), _written(F.col("_plan")))})
 
 
 def path_tokens(path: Column) -> Column:
-    """``ARRAY<STRUCT<i INT, k STRING>>`` of a dotted path."""
+    """``ARRAY<STRUCT<i BIGINT, k STRING>>`` of a dotted path."""
     # the mark is doubled inside keys, so a single one only ever starts a position
     doubled = F.replace(path, F.lit(_MARK), F.lit(_MARK * 2))
     marked = F.regexp_replace(doubled, _KEY_POSITION, f"$1$2.{_MARK}$3")
 
     def token(segment: Column) -> Column:
-        is_position = segment.rlike(f"^{_MARK}[0-9]")
-        position = F.substring(segment, 2, 2**31 - 1).try_cast("int")
+        is_position = F.startswith(segment, F.lit(_MARK)) & ~F.startswith(segment, F.lit(_MARK * 2))
+        position = F.coalesce(F.substring(segment, 2, _LONGEST).try_cast("bigint"), F.lit(_BEYOND))
         key = F.replace(segment, F.lit(_MARK * 2), F.lit(_MARK))
         return F.struct(
-            F.when(is_position, position).alias("i"), F.when(~is_position, key).alias("k")
+            F.when(is_position, F.least(position, F.lit(_BEYOND))).alias("i"), F.when(~is_position, key).alias("k")
         )
 
     return F.transform(F.split(marked, r"\."), token)
@@ -76,90 +72,6 @@ def leaf_text(leaf_type: Column, value: Column) -> Column:
     return F.when(quoted, json_string(value)).otherwise(F.coalesce(value, F.lit("null")))
 
 
-# The same in a list of paths, one per line.
-_KEY_POSITION_LINES = r"(^|\.|\n)([^.\n]*)\.([0-9]+)(?=[.\n]|\z)"
-
-
-def _ordered(flat: Column) -> Column:
-    """Document of leaves that are in order, with keys that need no escape; NULL otherwise.
-
-    A token is the segment itself, an array position with a mark in front.
-    """
-    paths = flat.getField("path")
-    odd = F.array_join(paths, ",").rlike(r'["\\\x00-\x1f]')
-    marked = F.regexp_replace(F.array_join(paths, "\n"), _KEY_POSITION_LINES, f"$1$2.{_MARK}$3")
-    tokens = F.transform(F.split(marked, "\n"), lambda line: F.split(line, r"\."))
-
-    def with_levels(toks: Column) -> Column:
-        def parting(tok: Column, i: Column) -> Column:
-            # level at which the path parts from the one before
-            return F.array_min(
-                F.transform(tok, lambda t, j: F.when(t == F.get(F.get(toks, i - 1), j), F.lit(_SAME)).otherwise(j))
-            )
-
-        return F.struct(toks.alias("toks"), F.transform(toks, parting).alias("levels"))
-
-    def write(row: Column) -> Column:
-        toks, levels = row.getField("toks"), row.getField("levels")
-        pieces = F.transform(flat, lambda leaf, i: _ordered_piece(leaf, i, toks, F.get(levels, i)))
-        last = F.try_element_at(toks, F.lit(-1))
-
-        def assemble(texts: Column) -> Column:
-            body = F.concat(F.lit("{"), F.array_join(texts, ""), _leave(last, F.lit(0)), F.lit("}"))
-            return F.when(~F.exists(texts, lambda t: t.isNull()), body)
-
-        return bind(pieces, assemble)
-
-    return F.when((F.size(flat) > 0) & ~odd, bind(bind(tokens, with_levels), write))
-
-
-def _ordered_piece(leaf: Column, i: Column, toks: Column, level: Column) -> Column:
-    tok, prev = F.get(toks, i), F.get(toks, i - 1)
-    here, there = F.get(tok, level), F.get(prev, level)
-    text = leaf_text(leaf.getField("leaf_type"), leaf.getField("value"))
-
-    def marked(token: Column) -> Column:
-        return F.startswith(token, F.lit(_MARK))
-
-    def position(token: Column) -> Column:
-        return F.substring(token, 2, 2**31 - 1).try_cast("int")
-
-    def fill(gap: Column) -> Column:
-        # NULL, hence the general way, when out of order or wide
-        return F.when(gap.between(0, _SMALL_GAP), F.repeat(F.lit("null,"), gap))
-
-    def open_below(so_far: Column, token: Column) -> Column:
-        array = F.concat(so_far, F.lit("["), fill(position(token)))
-        return F.when(marked(token), array).otherwise(F.concat(so_far, F.lit('{"'), token, F.lit('":')))
-
-    enter = F.when(F.size(tok) == level + 1, F.lit("")).otherwise(
-        F.aggregate(F.slice(tok, level + 2, F.size(tok)), F.lit(""), open_below)
-    )
-    first = F.concat(F.lit('"'), here, F.lit('":'), enter, text)
-    next_key = F.concat(_leave(prev, level), F.lit(',"'), here, F.lit('":'), enter, text)
-    next_position = F.concat(
-        _leave(prev, level), F.lit(","), fill(position(here) - position(there) - 1), enter, text
-    )
-    # no case: same path, one path inside the other, wrong order, or positions beside keys
-    return (
-        F.when(i == 0, first)
-        .when(level == _SAME, F.lit(None).cast("string"))
-        .when(marked(here), F.when(marked(there), next_position))
-        .when(~marked(there) & (here > there), next_key)
-    )
-
-
-def _leave(prev: Column, level: Column) -> Column:
-    """Text that leaves the containers of ``prev`` below ``level``, innermost first."""
-
-    def close(so_far: Column, token: Column) -> Column:
-        return F.concat(F.when(F.startswith(token, F.lit(_MARK)), F.lit("]")).otherwise(F.lit("}")), so_far)
-
-    return F.when(F.size(prev) == level + 1, F.lit("")).otherwise(
-        F.aggregate(F.slice(prev, level + 2, F.size(prev)), F.lit(""), close)
-    )
-
-
 def _tokenised(e: Column, order: Column) -> Column:
     return F.struct(
         path_tokens(e.getField("path")).alias("tok"),
@@ -174,99 +86,91 @@ def _is_position(token: Column) -> Column:
     return token.getField("i").isNotNull()
 
 
-def _draft(entries: Column, gap_limit: int | None) -> Column:
-    """Document of sorted, conflict-free entries; NULL if they are not (or a gap is too wide).
+def _planned(entries: Column) -> Column:
+    """Sorted entries, and for each the step from its predecessor."""
+    return F.struct(entries.alias("entries"), F.transform(entries, lambda e, i: _step(entries, e, i)).alias("steps"))
 
-    Here a token is ``struct(i, k)``: an array position (``k`` NULL) or a key (``i`` NULL).
-    """
-    pieces = F.transform(entries, lambda e, i: _piece(entries, e, i, gap_limit))
-    last = F.coalesce(F.try_element_at(entries, F.lit(-1)).getField("tok"), F.array().cast(_TOKENS))
 
-    def assemble(texts: Column) -> Column:
-        body = F.concat(F.lit("{"), F.array_join(texts, ""), _closings(last, F.lit(0)), F.lit("}"))
-        return F.when(~F.exists(texts, lambda t: t.isNull()), body)
+def _agreed(plan: Column) -> Column:
+    """The plan, made anew from what survives where paths disagree; NULL if they cannot be combined."""
+    broken = F.exists(plan.getField("steps"), lambda s: s.getField("broken"))
+    again = bind(F.sort_array(_survivors(plan.getField("entries"))), lambda kept: F.when(kept.isNotNull(), _planned(kept)))
+    return F.when(broken, again).otherwise(plan)
 
-    return bind(pieces, assemble)
 
+def _before(entries: Column, i: Column) -> Column:
+    return F.coalesce(F.get(entries, i - 1).getField("tok"), F.array().cast(_TOKENS))
 
-def _piece(entries: Column, e: Column, i: Column, gap_limit: int | None) -> Column:
-    before = F.coalesce(F.get(entries, i - 1).getField("tok"), F.array().cast(_TOKENS))
-    tok = e.getField("tok")
 
-    def with_common(pair: Column) -> Column:
-        prev, common = pair.getField("prev"), pair.getField("common")
-        here, there = F.get(tok, common), F.get(prev, common)
-        gap = here.getField("i") - F.coalesce(there.getField("i") + 1, F.lit(0))
-        # same path, one path inside the other, or positions and keys side by side
-        broken = common == _SAME
-        broken = broken | ((i > 0) & ((common >= F.size(prev)) | (_is_position(here) != _is_position(there))))
-        broken = broken | F.exists(tok, _unusable(gap_limit)) & _too_wide(tok, common, gap, gap_limit)
-        first = F.when(_is_position(here), F.repeat(F.lit("null,"), gap)).otherwise(
-            F.concat(json_string(here.getField("k")), F.lit(":"))
-        )
-        opened = F.when(F.size(tok) <= common + 1, F.lit("")).otherwise(
-            F.array_join(F.transform(F.slice(tok, common + 2, F.size(tok)), _opening), "")
-        )
-        text = F.concat(
-            _closings(prev, common),
-            F.when(i > 0, F.lit(",")).otherwise(F.lit("")),
-            first,
-            opened,
-            leaf_text(e.getField("leaf_type"), e.getField("value")),
-        )
-        return F.when(~broken, text)
+def _step(entries: Column, e: Column, i: Column) -> Column:
+    """Level at which an entry parts from the one before, the nulls to write, and whether the two disagree."""
+    tok = e.getField("tok")
 
-    def with_prev(prev: Column) -> Column:
-        return F.struct(prev.alias("prev"), _parting(prev, tok).alias("common"))
+    def parted(prev: Column) -> Column:
+        return bind(_parting(prev, tok), lambda level: of(prev, level))
 
-    return bind(bind(before, with_prev), with_common)
+    def of(prev: Column, level: Column) -> Column:
+        here, there = F.get(tok, level), F.get(prev, level)
+        # once the paths part, deeper positions start a new array
+        opened = F.aggregate(
+            F.slice(tok, level + 1, F.size(tok)), F.lit(0).cast("bigint"),
+            lambda total, t: total + F.coalesce(t.getField("i"), F.lit(0).cast("bigint")),
+        )
+        start = F.when(_is_position(here), F.coalesce(there.getField("i") + 1, F.lit(0).cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+        # same path, one path inside the other, or positions and keys side by side
+        broken = (level == _SAME) | ((i > 0) & ((level >= F.size(prev)) | (_is_position(here) != _is_position(there))))
+        return F.struct(level.alias("level"), (opened - start).alias("gap"), broken.alias("broken"))
 
+    return bind(_before(entries, i), parted)
 
-def _parting(prev: Column, tok: Column) -> Column:
-    """Level of ``tok`` at which it parts from ``prev``; ``_SAME`` when it does not."""
-    return F.array_min(
-        F.transform(tok, lambda t, j: F.when(t.eqNullSafe(F.get(prev, j)), F.lit(_SAME)).otherwise(j))
-    )
 
+def _written(plan: Column) -> Column:
+    """Document of a plan in which nothing disagrees."""
 
-def _unusable(gap_limit: int | None):
-    # a position out of the int range has neither i nor k; a small one cannot leave a wide gap
-    def test(t: Column) -> Column:
-        bad = t.getField("i").isNull() & t.getField("k").isNull()
-        return bad if gap_limit is None else bad | F.coalesce(t.getField("i") > gap_limit, F.lit(False))
+    def write(p: Column) -> Column:
+        entries, steps = p.getField("entries"), p.getField("steps")
+        pieces = F.transform(entries, lambda e, i: _piece(_before(entries, i), e, i, F.get(steps, i).getField("level")))
+        last = F.coalesce(F.try_element_at(entries, F.lit(-1)).getField("tok"), F.array().cast(_TOKENS))
+        return F.concat(F.lit("{"), F.array_join(pieces, ""), _closings(last, F.lit(0)), F.lit("}"))
 
-    return test
+    return bind(plan, write)
 
 
-def _too_wide(tok: Column, common: Column, gap: Column, gap_limit: int | None) -> Column:
-    bad = F.exists(tok, lambda t: t.getField("i").isNull() & t.getField("k").isNull())
-    if gap_limit is None:
-        return bad
-    deeper = F.slice(tok, common + 2, F.size(tok))
-    fresh = F.exists(deeper, lambda t: F.coalesce(t.getField("i") > gap_limit, F.lit(False)))
-    return bad | F.coalesce(gap > gap_limit, F.lit(False)) | fresh
+def _piece(prev: Column, e: Column, i: Column, level: Column) -> Column:
+    """Text between the entry before and this one, and the entry's value."""
+    tok = e.getField("tok")
+    here, there = F.get(tok, level), F.get(prev, level)
+    gap = here.getField("i") - F.coalesce(there.getField("i") + 1, F.lit(0).cast("bigint"))
+    first = F.when(_is_position(here), _nulls(gap)).otherwise(F.concat(json_string(here.getField("k")), F.lit(":")))
+    opened = F.when(F.size(tok) <= level + 1, F.lit("")).otherwise(
+        F.array_join(F.transform(F.slice(tok, level + 2, F.size(tok)), _opening), "")
+    )
+    comma = F.when(i > 0, F.lit(",")).otherwise(F.lit(""))
+    return F.concat(_closings(prev, level), comma, first, opened, leaf_text(e.getField("leaf_type"), e.getField("value")))
 
 
-def _opening(token: Column) -> Column:
-    return F.when(
-        _is_position(token), F.concat(F.lit("["), F.repeat(F.lit("null,"), token.getField("i")))
-    ).otherwise(F.concat(F.lit("{"), json_string(token.getField("k")), F.lit(":")))
+def _nulls(gap: Column) -> Column:
+    return F.repeat(F.lit("null,"), gap.cast("int"))
 
 
-def _closings(tok: Column, common: Column) -> Column:
-    """Text that leaves the containers of ``tok`` below level ``common``, innermost first."""
-    inner = F.reverse(F.slice(tok, common + 2, F.size(tok)))
-    text = F.array_join(F.transform(inner, lambda t: F.when(_is_position(t), F.lit("]")).otherwise(F.lit("}"))), "")
-    return F.when(F.size(tok) <= common + 1, F.lit("")).otherwise(text)
+def _parting(prev: Column, tok: Column) -> Column:
+    """Level of ``tok`` at which it parts from ``prev``; ``_SAME`` when it does not."""
+    return F.array_min(
+        F.transform(tok, lambda t, j: F.when(t.eqNullSafe(F.get(prev, j)), F.lit(_SAME)).otherwise(j))
+    )
 
 
-def _resolved(entries: Column, max_padding: int) -> Column:
-    """Document of entries that disagree, or NULL when they cannot be combined."""
+def _opening(token: Column) -> Column:
+    return F.when(_is_position(token), F.concat(F.lit("["), _nulls(token.getField("i")))).otherwise(
+        F.concat(F.lit("{"), json_string(token.getField("k")), F.lit(":"))
+    )
 
-    def write(kept: Column) -> Column:
-        return F.when(_padding(kept) <= max_padding, _draft(kept, None))
 
-    return bind(F.sort_array(_survivors(entries)), write)
+def _closings(tok: Column, level: Column) -> Column:
+    """Text that leaves the containers of ``tok`` below ``level``, innermost first."""
+    inner = F.reverse(F.slice(tok, level + 2, F.size(tok)))
+    text = F.array_join(F.transform(inner, lambda t: F.when(_is_position(t), F.lit("]")).otherwise(F.lit("}"))), "")
+    return F.when(F.size(tok) <= level + 1, F.lit("")).otherwise(text)
 
 
 def _survivors(entries: Column) -> Column:
@@ -352,27 +256,3 @@ def _replacements(visits: Column) -> Column:
         )
 
     return F.filter(F.transform(visits, with_impossible), lambda r: r.isNotNull())
-
-
-def _padding(entries: Column) -> Column:
-    """Nulls needed to fill the array gaps of sorted entries; NULL for NULL."""
-
-    def gaps(e: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(entries, i - 1).getField("tok"), F.array().cast(_TOKENS))
-        tok = e.getField("tok")
-
-        def below(prev: Column) -> Column:
-            # once the paths part, deeper positions start a new array
-            common = _parting(prev, tok)
-
-            def gap(t: Column, d: Column) -> Column:
-                start = F.when(d == common, F.coalesce(F.get(prev, d).getField("i") + 1, F.lit(0))).otherwise(F.lit(0))
-                return F.when(d >= common, F.coalesce(t.getField("i") - start, F.lit(0))).otherwise(F.lit(0))
-
-            return F.aggregate(
-                F.transform(tok, gap), F.lit(0).cast("long"), lambda total, g: total + g.cast("long")
-            )
-
-        return bind(before, below)
-
-    return F.aggregate(F.transform(entries, gaps), F.lit(0).cast("long"), lambda total, g: total + g)

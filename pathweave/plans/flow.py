@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dead_letters import accepted, dead_letters
-from ..operators.flatten import DEFAULT_DEPTH, INCLUDE, flatten_json, flatten_pages
+from ..operators.flatten import INCLUDE, flatten_json, flatten_pages
 from ..operators.paginate import PageNames, paginate, split_to_json
 from ..operators.parse import parse_messages
 from ..operators.transform import transform_fields
@@ -31,7 +31,6 @@ class FlowConfig:
     patterns: Sequence[str] = ()
     fn: Callable[[Column], Column] = field(default=F.upper)
     on_non_array: str = "dlq"
-    max_depth: int = DEFAULT_DEPTH
 
     @staticmethod
     def from_schemas(input_schema: rules.Schema, output_schema: rules.Schema | None = None, **options) -> FlowConfig:
@@ -52,9 +51,9 @@ def validate_split_flatten(df: DataFrame, cfg: FlowConfig) -> DataFrame:
     """Parse, validate, page and flatten in one pass (J2); failed rows carry ``error``."""
     df = validate_required(parse_messages(df), cfg.required)
     if cfg.array is None:
-        return flatten_json(df, cfg.nulls, cfg.max_depth)
+        return flatten_json(df, cfg.nulls)
     pages = paginate(df, cfg.array, cfg.page_size, cfg.item_required, cfg.on_non_array)
-    return flatten_pages(pages, cfg.names or PageNames(cfg.array), cfg.nulls, cfg.max_depth)
+    return flatten_pages(pages, cfg.names or PageNames(cfg.array), cfg.nulls)
 
 
 def outcomes(df: DataFrame, cfg: FlowConfig) -> DataFrame:
@@ -88,6 +87,5 @@ def chained(df: DataFrame, cfg: FlowConfig) -> DataFrame:
     flat = flatten_json(
         parse_messages(earlier, lenient=True).withColumn("error", F.coalesce("_failed", "error")).drop("_failed"),
         cfg.nulls,
-        cfg.max_depth,
     )
     return flat

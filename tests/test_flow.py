@@ -12,7 +12,7 @@ from workload import messages as m
 from workload.queries import FLOW, QUERIES
 
 SF = "/root/testdata/sf0.001"
-CFG = FlowConfig(required=["document"], array="lines", item_required=["text"], names=PageNames("lines"), page_size=3, patterns=["lines.*.lang"], max_depth=4)
+CFG = FlowConfig(required=["document"], array="lines", item_required=["text"], names=PageNames("lines"), page_size=3, patterns=["lines.*.lang"])
 
 
 def plan(df) -> str:
@@ -50,7 +50,7 @@ def test_stream_equals_batch_and_restarts(spark):
 def test_kafka_rows(spark):
     rows = [(b"k", b'{"a":1}', {"h": b"v"}, "in", 0, 5), (b"k", b"{", {"h": b"v"}, "in", 0, 6)]
     df = spark.createDataFrame(rows, "key binary, value binary, headers map<string,binary>, topic string, partition int, offset long")
-    out = kafka_rows(outcomes(to_envelope(df), FlowConfig(max_depth=3)), "good", "bad").orderBy("topic").collect()
+    out = kafka_rows(outcomes(to_envelope(df), FlowConfig()), "good", "bad").orderBy("topic").collect()
     bad, good = out
     assert (bad.topic, bad.key, bad.headers) == ("bad", None, None) and b'"sourceOffset":6' in bytes(bad.value)
     assert (good.topic, bytes(good.key), bytes(good.value)) == ("good", b"k", b'{"a":1}')

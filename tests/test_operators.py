@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathweave import (
     EXCLUDE, REPLACE_EMPTY_STRING, FlowConfig, PageNames, accepted, chained, dead_letters, decode_csv, encode_csv,
-    flatten_json, map_fields, outcomes, paginate, parse_messages, split_to_json, to_envelope, transform_fields,
+    flatten_json, flatten_pages, map_fields, outcomes, paginate, parse_messages, split_to_json, to_envelope, transform_fields,
     unflatten, validate_split_flatten,
 )
 from pathweave.operators.flatten import FLAT_TYPE
@@ -60,21 +60,26 @@ def test_leaves_and_types(spark):
 
 def test_null_policies(spark):
     df = parse_messages(messages(spark, [{"name": None, "x": 1}]))
-    assert flats(flatten_json(df, EXCLUDE, 4))[0] == {"x": ("BIGINT", "1")}
-    assert flats(flatten_json(df, REPLACE_EMPTY_STRING, 4))[0] == {"name": ("STRING", ""), "x": ("BIGINT", "1")}
+    assert flats(flatten_json(df, EXCLUDE))[0] == {"x": ("BIGINT", "1")}
+    assert flats(flatten_json(df, REPLACE_EMPTY_STRING))[0] == {"name": ("STRING", ""), "x": ("BIGINT", "1")}
 
 
 def test_depth_width_and_shared_paths(spark):
     deep: dict = {"leaf": 1}
-    for _ in range(29):
+    for _ in range(299):
         deep = {"n": deep}
     wide = {"list": list(range(2000)), "text": "x" * 70000}
-    df = messages(spark, [deep, wide, '{"a.b":1,"a":{"b":2}}'])
-    shallow = flatten_json(parse_messages(df), max_depth=6)
-    assert codes(shallow) == {0: "DEPTH", 1: None, 2: "CONFLICT"}
-    assert len(flats(shallow)[1]) == 2001
-    full = flats(flatten_json(parse_messages(df.where("id = 0")), max_depth=30))
-    assert full[0] == {"n." * 29 + "leaf": ("BIGINT", "1")}
+    odd = '{"a":[[[]],{"k":"}]{[\\"]"}],"b":{},"c":[[1,[2]]]} ]]] trailing'
+    got = flatten_json(parse_messages(messages(spark, [deep, wide, '{"a.b":1,"a":{"b":2}}', odd, "7", "[]"])))
+    assert codes(got) == {0: None, 1: None, 2: "CONFLICT", 3: None, 4: None, 5: None}
+    flat = flats(got)
+    assert flat[0] == {"n." * 299 + "leaf": ("BIGINT", "1")}
+    assert len(flat[1]) == 2001
+    assert flat[3] == {"a.1.k": ("STRING", '}]{["]'), "c.0.0": ("BIGINT", "1"), "c.0.1.0": ("BIGINT", "2")}
+    assert flat[4] == {"": ("BIGINT", "7")} and flat[5] == {}
+    pages = flatten_pages(paginate(parse_messages(messages(spark, [{"p": [deep, 1, wide]}])), "p", 2), PageNames("p"))
+    first, second = sorted((r.flat for r in pages.collect()), key=lambda f: f[1].value)
+    assert [e.path for e in first if e.path[0] == "p"] == ["p.0." + "n." * 299 + "leaf", "p.1"] and len(second) == 3 + 2001
 
 
 def test_pages_and_item_rules(spark):
@@ -109,7 +114,7 @@ def test_required_rules(spark):
     }
     assert rules.required_paths(schema) == ["age", "address.street"]
     docs = [{"age": None}, {"address": {}}, {"age": 1, "address": None}, {"age": 1, "address": {"street": 2}, "extra": {}}]
-    df = validate_split_flatten(messages(spark, docs), FlowConfig.from_schemas(schema, max_depth=4))
+    df = validate_split_flatten(messages(spark, docs), FlowConfig.from_schemas(schema))
     got = {r.id: r.error and r.error.message for r in df.collect()}
     head = "Input schema validation failed: "
     assert got == {
@@ -155,15 +160,22 @@ def test_rebuild(spark):
         ([("a", 1), ("a.b", 2)], {"a": {"b": 2}}), ([("a.0", 2), ("a.b", 1)], {"a": {"b": 1}}),
         ([("a.0", 1), ("a.0x", 2), ("a.1", 3)], {"a": [None, 3]}), ([("a.0", 1), ("a.00", 2)], {"a": [2]}),
         ([("a.0", None), ("a.0.x", 2)], {"a": [{"x": 2}]}), ([("x", 1), ("x", 2)], {"x": 2}),
-        ([("a.0", 1), ("a.0.x", 2)], "CONFLICT"), ([("a.99999999999", 1)], "CONFLICT"), ([("a.2000000000", 1)], "CONFLICT"),
+        ([("a.0", 1), ("a.0.x", 2)], "CONFLICT"), ([("a.99999999999", 1)], "GAP"), ([("a.2000000000", 1)], "GAP"), ([("a.99999999999999999999", 1)], "GAP"),
+        ([("a.0.5.9", 1), ("a.300000000.x", 2), ("b.300000000", 1)], "GAP"),
         ([("a.100.x", 1), ("b", 2)], {"a": [None] * 100 + [{"x": 1}], "b": 2}),
     ]
     assert rebuild(spark, [c[0] for c in cases]) == [c[1] for c in cases]
 
 
+def test_a_wide_gap_is_written(spark):
+    rows = spark.createDataFrame([([("a.20000000", "BIGINT", "1")],)], f"flat {FLAT_TYPE}").withColumn("error", F.lit(None).cast(ERROR))
+    out = unflatten(rows).select(F.length("json").alias("n"), F.substring("json", 1, 11).alias("head"), F.expr("right(json, 8)").alias("tail")).first()
+    assert tuple(out) == (5 * 20_000_000 + 9, '{"a":[null,', 'null,1]}')
+
+
 def test_transforms(spark):
     doc = {"s": [{"d": "ab", "n": 1}, {"d": "straße"}], "d": "x", "s0": {"D": "k"}}
-    flat = flatten_json(parse_messages(messages(spark, [doc])), max_depth=4)
+    flat = flatten_json(parse_messages(messages(spark, [doc])))
     got = flats(transform_fields(flat, ["s.*.d", "s.*.n", "*"]))[0]
     assert got["s.0.d"][1] == "AB" and got["s.1.d"][1] == "STRASSE" and got["d"][1] == "X"
     assert got["s.0.n"] == ("BIGINT", "1") and got["s0.D"][1] == "k"
@@ -195,7 +207,7 @@ def test_headers_and_dead_letters(spark):
 
 def test_whole_message_rejection_differs_from_pages(spark):
     docs = [{"a": [{"x": 1}, {"y": 2}]}]
-    cfg = FlowConfig(array="a", item_required=["x"], names=PageNames("a"), page_size=1, max_depth=4)
+    cfg = FlowConfig(array="a", item_required=["x"], names=PageNames("a"), page_size=1)
     one_pass = outcomes(messages(spark, docs), cfg)
     assert sorted(r.error is None for r in one_pass.collect()) == [False, True]
     three_steps = chained(messages(spark, docs), cfg).collect()

@@ -13,13 +13,14 @@ from pathweave.sources.messages import to_envelope
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, spread over the cores when its file gives fewer splits than there are.
+    """A test table as it is stored.
 
-    An input of cluster size has more splits than cores and is read without a shuffle.
+    With the session setting ``pathweave.input.partitions`` its rows are dealt over so many partitions
+    first; a bench on files of one row group sets it. Unset, there is no shuffle.
     """
     df = prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = spark.conf.get("pathweave.input.partitions", None)
+    return df if parts is None else df.repartition(int(parts))
 
 
 def _messages(df: DataFrame, id_column: str, body: Column) -> DataFrame:
