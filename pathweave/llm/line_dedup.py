@@ -12,7 +12,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +28,8 @@ SIMILARITY = 0.8
 #: 8 bands of 4 rows find a pair at similarity 0.8 with probability 0.985, at 0.9 with 0.9998.
 BANDS, ROWS = 8, 4
 #: The signature's values come from so many hash functions, each split into bins; an empty bin borrows from the next.
-FUNCTIONS = 4
-_LIST = 128
+FUNCTIONS = 2
+_LIST = 4096
 _STEP = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(_STEP), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -53,25 +52,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line."""
-    lengths = np.array([len(x) for x in lines], dtype=np.int64)
-    # a line shorter than a shingle is padded to one, so every line has at least one
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all shingles of the lines, one after the other, and the line that each is of.
+
+    A line shorter than a shingle is padded to one, so every line has at least one.
+    """
+    counts = np.maximum(np.array([len(x) for x in lines], dtype=np.int64), SHINGLE)
     padded = "".join(x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines)
-    counts = np.maximum(lengths, SHINGLE)
     h = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     factor, span = _STEP, 1
     while span < SHINGLE:  # hash of 2, 4, 8 characters from each place
         h = h[:-span] * np.uint64(factor) + h[span:]
         factor, span = int(_times(factor, factor)), 2 * span
-    starts = np.cumsum(counts) - counts
-    owner = np.repeat(np.arange(len(lines)), counts)[: len(h)]
-    inside = np.arange(len(h)) <= (starts + counts - SHINGLE)[owner]
-    h, owner = h[inside], owner[inside]
+    ends = np.cumsum(counts) - SHINGLE
+    inside = np.ones(len(h), dtype=bool)
+    for back in range(1, SHINGLE):  # places whose shingle would reach into the next line
+        inside[ends[:-1] + back] = False
+    return _mixed(h[inside]), np.repeat(np.arange(len(lines)), counts - SHINGLE + 1)
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line."""
+    h, owner = shingle_hashes(lines)
     bins = BANDS * ROWS // FUNCTIONS
     out = []
     for f in range(FUNCTIONS):
-        mixed = _mixed(h + _times(_STEP, f + 1))
+        mixed = _mixed(h + _times(_STEP, f + 1)) if f else h
         place = owner * bins + ((mixed >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
         least = np.full(len(lines) * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
         np.minimum.at(least, place, mixed * _MIX[2])
@@ -85,12 +91,12 @@ def signatures(lines: list[str]) -> np.ndarray:
             least = np.where(use, other + np.uint64(step), least)
             empty = empty & ~use
         out.append(least)
-    values = np.concatenate(out, axis=1)  # a band takes one value from each function
+    values = np.concatenate(out, axis=1)  # a band takes its values from all functions in turn
     bands = np.zeros((len(lines), BANDS), dtype=np.uint64)
     for b in range(BANDS):
         mixed = np.full(len(lines), _times(_STEP, b + 1))
         for r in range(ROWS):
-            mixed = _mixed(mixed ^ values[:, (r * bins + b) % values.shape[1]]) + _MIX[0]
+            mixed = _mixed(mixed ^ values[:, (r * bins + r // FUNCTIONS * BANDS + b) % values.shape[1]]) + _MIX[0]
         bands[:, b] = mixed
     return bands
 
@@ -172,35 +178,43 @@ def _wanted_lines(bitmap, cells: int):
     return run
 
 
-def shingles(line: str) -> frozenset[str]:
-    return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+def similar_edges(lines: list[str]) -> tuple[list[int], list[int]]:
+    """A spanning forest of the links among a list's lines: exact Jaccard similarity of their sets of shingle hashes.
 
-
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of exact similarity within each list; pairs that are connected already need no comparison."""
+    From each line that is reached the lines not reached yet are compared at once; a line that is reached needs no
+    further comparison with those reached before, since only components count.
+    """
+    hashes, owner = shingle_hashes(lines)
+    sets = [np.unique(x) for x in np.split(hashes, np.flatnonzero(np.diff(owner)) + 1)]
+    flat = np.concatenate(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    left, front, u, v = np.arange(len(lines)), [], [], []
+    while len(left):
+        if not front:
+            front, flat, left = [int(left[0])], flat[sizes[left[0]]:], left[1:]
+            continue
+        i = front.pop()
+        own = sets[i]
+        hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+        both = np.add.reduceat(hit, np.cumsum(sizes[left]) - sizes[left], dtype=np.int64)
+        near = both >= SIMILARITY * (len(own) + sizes[left] - both)
+        if near.any():
+            found = left[near].tolist()
+            front += found
+            u += [i] * len(found)
+            v += found
+            flat, left = flat[np.repeat(~near, sizes[left])], left[~near]
+    return u, v
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         u, v = [], []
-        for lines in batch["lines"]:
-            sets = [shingles(x["content"]) for x in lines]
-            order = sorted(range(len(lines)), key=lambda i: len(sets[i]))
-            parent = list(range(len(lines)))
-
-            def root(i: int) -> int:
-                while parent[i] != i:  # noqa: B023
-                    parent[i] = i = parent[parent[i]]  # noqa: B023
-                return i
-
-            for at, i in enumerate(order):
-                for j in order[at + 1:]:
-                    if len(sets[i]) < SIMILARITY * len(sets[j]):
-                        break
-                    if root(i) != root(j):
-                        both = len(sets[i] & sets[j])
-                        if both >= SIMILARITY * (len(sets[i]) + len(sets[j]) - both):
-                            parent[root(j)] = root(i)
-                            u.append(bytes(lines[i]["key"]))
-                            v.append(bytes(lines[j]["key"]))
-        yield pd.DataFrame({"u": u, "v": v})
+        for keys, contents in zip(batch.column("keys").to_pylist(), batch.column("contents").to_pylist(), strict=True):
+            first, second = similar_edges(contents)
+            u += [keys[i] for i in first]
+            v += [keys[i] for i in second]
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
 
 def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -217,7 +231,7 @@ def links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     found = docs.select("text").mapInArrow(_wanted_lines(context.broadcast(keys), cells), "key binary, content string")
     joined = wanted.join(found.dropDuplicates(["key"]), "key")
     grouped = joined.groupBy("list").agg(F.collect_list(F.struct("key", "content")).alias("lines"))
-    return grouped.select("lines").mapInPandas(_verified, "u binary, v binary")
+    return grouped.select(F.col("lines.key").alias("keys"), F.col("lines.content").alias("contents")).mapInArrow(_verified, "u binary, v binary")
 
 
 def _rebuilt(names: list[str]):
