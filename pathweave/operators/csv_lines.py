@@ -7,20 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import once
+from ..functions.columns import bind, once
 
 # One field after a comma: quoted (doubled quotes inside, closing quote optional at the end of
 # the line), or anything up to the next comma.  \G makes matches adjoin, so text after a closing
 # quote ends the line.  Possessive groups keep long quoted texts off the stack.
-_FIELD = r'\G,(?:"([^"]*+(?:""[^"]*+)*+)(?:"|\z)|([^",][^,]*+)?)'
+_FIELD = r'\G,(?:"[^"]*+(?:""[^"]*+)*+(?:"|\z)|(?:[^",][^,]*+)?)'
 
 
 def csv_fields(line: Column) -> Column:
     """``ARRAY<STRING>`` of the fields of a line, untrimmed."""
-    led = F.concat(F.lit(","), line)
-    quoted = F.regexp_extract_all(led, F.lit(_FIELD), F.lit(1))
-    plain = F.regexp_extract_all(led, F.lit(_FIELD), F.lit(2))
-    return F.zip_with(quoted, plain, lambda q, p: F.concat(F.replace(q, F.lit('""'), F.lit('"')), p))
+
+    def bare(match: Column) -> Column:
+        return F.when(F.startswith(match, F.lit(',"')), bind(F.substring(match, 3, 2**31 - 1), inside)).otherwise(F.substring(match, 2, 2**31 - 1))
+
+    def inside(body: Column) -> Column:
+        # of the quotes at its end the last one closes the field, unless they are all doubled
+        last = (F.length(body) - F.length(F.rtrim(body, F.lit('"')))) % 2
+        return F.replace(F.substring(body, F.lit(1), F.length(body) - last), F.lit('""'), F.lit('"'))
+
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(0)), bare)
 
 
 def decode_csv(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import named, once, variant_at
+from ..functions.columns import named, once, variant_at, with_error
 from ..functions.paths import fill_wildcards, pattern_regex, wildcards
 
 _REF = re.compile(r"\$\{([^}]*)\}")
@@ -120,23 +120,41 @@ def project_entries(
     entry: Mapping[str, tuple[str, str]],
     index_name: str = "entry_index",
 ) -> DataFrame:
-    """One flat record per array entry, header fields repeated.
+    """One flat record per array entry, header fields repeated; rejected rows have ``error`` and ``value``.
 
     ``header`` and ``entry`` map a column name to ``(dotted path, Spark type)``; numeric
-    segments are array positions.  Absent values are NULL.
+    segments are array positions.  Absent values and JSON nulls are NULL.  A message that failed
+    before, one whose field is missing or no array (``NOT_ARRAY``) and one whose header does not fit
+    its type (``TYPE``) stay as one row without an entry; so does each entry that does not fit
+    its types, beside its index.  An empty array gives no row.
     """
-    v = F.col("v")
+    v, ok = F.col("v"), F.col("error").isNull()
+    items = variant_at(v, [array], "array<variant>")
     found = {name: variant_at(v, _keys(path), kind) for name, (path, kind) in header.items()}
-    df = once(
-        df.where(F.col("error").isNull()),
-        drop=("v",),
-        _items=variant_at(v, [array], "array<variant>"),
-        **found,
-    )
-    kept = [named(c) for c in df.columns if c not in ("_items", "value", "error")]
-    rows = df.select(*kept, F.posexplode("_items").alias(index_name, "_item"))
-    columns = [variant_at(F.col("_item"), _keys(path), kind).alias(name) for name, (path, kind) in entry.items()]
-    return rows.select(*[named(c) for c in rows.columns if c != "_item"], *columns)
+    df = once(df, drop=("v",), _items=F.when(ok, items), _misfit=F.when(ok, _misfits(v, header)), **found)
+    df = with_error(df, "NOT_ARRAY", F.when(F.col("_items").isNull(), F.lit(f"Field '{array}' is missing or not a JSON array")))
+    df = with_error(df, "TYPE", F.col("_misfit"))
+    none = F.lit(None)
+    failed = F.array(F.struct(none.cast("int").alias("i"), none.cast("variant").alias("item")))
+    listed = F.transform("_items", lambda x, i: F.struct(i.alias("i"), x.alias("item")))
+    inner = ("_items", "_misfit", "_entry", "value", "error")
+    kept = [named(c) for c in df.columns if c not in inner]
+    rows = df.select(*kept, "value", "error", F.explode(F.when(F.col("error").isNull(), listed).otherwise(failed)).alias("_entry"))
+    item = F.col("_entry.item")
+    columns = {name: variant_at(item, _keys(path), kind) for name, (path, kind) in entry.items()}
+    rows = once(rows, _misfit=_misfits(item, entry), **{index_name: F.col("_entry.i")}, **columns)
+    rows = with_error(rows, "TYPE", F.col("_misfit"))
+    return rows.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value"))).drop("_entry", "_misfit")
+
+
+def _misfits(v: Column, fields: Mapping[str, tuple[str, str]]) -> Column:
+    """Text on the first present value that does not fit its type, or NULL."""
+    found = []
+    for path, kind in fields.values():
+        raw = variant_at(v, _keys(path))
+        bad = raw.isNotNull() & ~F.is_variant_null(raw) & variant_at(v, _keys(path), kind).isNull()
+        found.append(F.when(bad, F.lit(f"Field '{path}' does not fit type {kind}")))
+    return F.coalesce(*found, F.lit(None).cast("string"))
 
 
 def _keys(path: str) -> list[str | int]:

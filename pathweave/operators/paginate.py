@@ -8,10 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ERROR_TYPE, json_name, json_string, once, variant_at
+from ..functions.columns import ERROR_TYPE, json_name, json_string, once, variant_at, with_error
+from .parse import message_text
 from .validate import item_message, item_violations
 
 
+# A key with a dot or an escape, one that starts with a digit, or an empty one.  Only such keys can make
+# a page fail after the split: its paths may be shared, or disagree when they are put together again.
+_ODD_KEY = r'"(?:[^"\\.]*+[.\\]|[0-9]|"\s*:)'
+
+
 @dataclass(frozen=True)
 class PageNames:
     """Field names of an output page."""
@@ -31,15 +37,18 @@ def paginate(
     page_size: int,
     item_required: Sequence[str] = (),
     on_non_array: str = "dlq",
+    keep_value: bool = False,
 ) -> DataFrame:
     """One row per page: ``page_index, total_pages, item_count, items ARRAY<VARIANT>``.
 
     Rows that failed before stay as one row with their ``error``.  An empty array gives no
     row.  With ``item_required`` a page with an incomplete item becomes an error row of its
-    own and the other pages flow.  ``value`` is kept on error rows only: copying the whole
-    message next to each of its pages would grow with the square of its size.
+    own and the other pages flow.  ``value`` is kept on error rows and beside the pages of a
+    message with odd keys (see ``_ODD_KEY``), which may still fail; :func:`without_originals`
+    takes it off rows that did not.  Copying every message next to each of its pages would grow with
+    the square of its size; ``keep_value`` does so for rules that follow the split.
 
-    ``on_non_array='dlq'`` rejects a missing or non-array field.  ``'reference'`` drops it
+    ``on_non_array='dlq'`` rejects a missing or non-array field.  ``'drop'`` drops it
     without a trace, except that a non-empty object is rejected.
     """
     _check_page_size(page_size)
@@ -54,6 +63,8 @@ def paginate(
     )
     items = F.col("items")
     total = _total_pages(items, page_size)
+    df = df.withColumn("_odd", F.lit(True) if keep_value else message_text(F.col("value")).rlike(_ODD_KEY))
+    original = F.when(F.col("_odd"), F.col("value"))
 
     def page(p: Column) -> Column:
         part = F.slice(items, p * page_size + 1, F.lit(page_size))
@@ -63,8 +74,7 @@ def paginate(
             F.least(F.lit(page_size), F.size(items) - p * page_size).alias("item_count"),
         ]
         if not item_required:
-            none = F.lit(None)
-            return F.struct(*fields, part.alias("items"), none.cast("binary").alias("value"), none.cast(ERROR_TYPE).alias("error"))
+            return F.struct(*fields, part.alias("items"), original.alias("value"), F.lit(None).cast(ERROR_TYPE).alias("error"))
         bad = item_message(item_violations(part, p * page_size, array, item_required))
 
         def judged(message: Column) -> Column:
@@ -72,7 +82,7 @@ def paginate(
             return F.struct(
                 *fields,
                 F.when(~failed, part).alias("items"),
-                F.when(failed, F.col("value")).alias("value"),
+                F.when(failed, F.col("value")).otherwise(original).alias("value"),
                 F.when(failed, F.struct(F.lit("ITEM_REQUIRED").alias("code"), message.alias("message"))).alias("error"),
             )
 
@@ -94,14 +104,18 @@ def split_to_json(
     v = F.col("v")
     ok = F.col("error").isNull()
     field = array.replace("`", "``")
-    raw = F.from_json(F.col("value").cast("string"), f"struct<`{field}`: array<string>>").getItem(array)
-    texts = F.zip_with(variant_at(v, [array], "array<variant>"), raw, _item_text)
+    raw = F.from_json(message_text(F.col("value")), f"struct<`{field}`: array<string>>").getItem(array)
     df = once(
         df,
         drop=("v",),
-        items=F.when(ok, texts),
+        _parsed=F.when(ok, variant_at(v, [array], "array<variant>")),
+        _raw=F.when(ok, raw),
         error=F.coalesce(F.col("error"), _non_array(v, array, on_non_array)),
     )
+    # the spelling of the items comes from a second reading of the text, which must agree with the first
+    differs = F.col("_parsed").isNotNull() & ~F.size("_parsed").eqNullSafe(F.size("_raw"))
+    df = with_error(df, "PARSE", F.when(differs, F.lit(f"Items of '{array}' cannot be read one by one")))
+    df = once(df, drop=("_parsed", "_raw"), items=F.when(F.col("error").isNull(), F.zip_with("_parsed", "_raw", _item_text)))
     items = F.col("items")
     total = _total_pages(items, page_size)
 
@@ -127,6 +141,11 @@ def split_to_json(
     return _explode_pages(df, pages, "string").drop("items")
 
 
+def without_originals(df: DataFrame) -> DataFrame:
+    """Take ``value`` off the rows without an error, once no step that may fail follows."""
+    return df.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value")))
+
+
 def _item_text(item: Column, raw: Column) -> Column:
     # raw is the item as written, but a string without its quotes and a null as SQL NULL
     is_string = F.schema_of_variant(item) == "STRING"
@@ -155,7 +174,7 @@ def _explode_pages(df: DataFrame, pages: Column, item_type: str) -> DataFrame:
         F.col("error").alias("error"),
     )
     rows = F.when(F.col("error").isNotNull(), F.array(failed)).otherwise(pages)
-    kept = [c for c in df.columns if c not in ("value", "error", "items")]
+    kept = [c for c in df.columns if c not in ("value", "error", "items", "_odd")]
     return df.select(*kept, F.inline(rows.cast(f"array<{page_type}>")))
 
 
@@ -176,5 +195,5 @@ def _check_page_size(page_size: int) -> None:
 
 
 def _check_policy(policy: str) -> None:
-    if policy not in ("dlq", "reference"):
-        raise ValueError(f"on_non_array must be 'dlq' or 'reference', got {policy!r}")
+    if policy not in ("dlq", "drop"):
+        raise ValueError(f"on_non_array must be 'dlq' or 'drop', got {policy!r}")

@@ -57,13 +57,15 @@ def item_message(violations: Column) -> Column:
 def validate_items(pages: DataFrame, array: str, page_size: int, paths: Sequence[str]) -> DataFrame:
     """Mark the pages that hold an incomplete item; other pages of the message are untouched.
 
-    For pages that come with a large ``value`` prefer ``paginate(item_required=…)``: it checks
-    before the split, so only rejected pages carry the original message.
+    The pages must come from ``paginate(keep_value=True)``, so that a rejected page carries the
+    original message; the others lose it here.  For large messages prefer
+    ``paginate(item_required=…)``, which checks before the split and copies none.
     """
     if not paths:
         return pages
     first = F.col("page_index") * F.lit(page_size)
-    return with_error(pages, "ITEM_REQUIRED", item_message(item_violations(F.col("items"), first, array, paths)))
+    checked = with_error(pages, "ITEM_REQUIRED", item_message(item_violations(F.col("items"), first, array, paths)))
+    return checked.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value")))
 
 
 def validate_messages(

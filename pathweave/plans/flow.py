@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dead_letters import accepted, dead_letters
 from ..operators.flatten import INCLUDE, flatten_json, flatten_pages
-from ..operators.paginate import PageNames, paginate, split_to_json
+from ..operators.paginate import PageNames, paginate, split_to_json, without_originals
 from ..operators.parse import parse_messages
 from ..operators.transform import transform_fields
 from ..operators.unflatten import unflatten
@@ -65,7 +65,8 @@ def outcomes(df: DataFrame, cfg: FlowConfig) -> DataFrame:
     df = validate_split_flatten(df, cfg)
     if cfg.patterns:
         df = transform_fields(df, cfg.patterns, cfg.fn)
-    return unflatten(df).drop("flat")
+    done = unflatten(df).drop("flat")
+    return done if cfg.array is None else without_originals(done)
 
 
 def run_flow(df: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:

@@ -92,7 +92,7 @@ def test_pages_and_item_rules(spark):
     assert pages == [(0, 4, 1, None, False), (1, 4, 1, None, False), (2, 4, 1, None, False),
                      (3, 4, 1, "Item validation failed: [missing required field 'firstName' in persons[3]]", True)]
     assert sorted((r.id, r.error.code) for r in rows if r.id) == [(i, "NOT_ARRAY") for i in (2, 3, 4, 5, 6)]
-    quiet = paginate(df, "persons", 3, on_non_array="reference").collect()
+    quiet = paginate(df, "persons", 3, on_non_array="drop").collect()
     assert sorted((r.id, r.error and r.error.code, r.item_count) for r in quiet) == [(0, None, 1), (0, None, 3), (4, "NOT_ARRAY", None)]
     with pytest.raises(ValueError):
         paginate(df, "persons", 0)

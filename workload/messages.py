@@ -28,11 +28,12 @@ def _messages(df: DataFrame, id_column: str, body: Column) -> DataFrame:
 
 
 def document_body() -> Column:
-    """A document with one item per line; blank lines have no ``text``."""
+    """A document with one item per line; blank lines, and all whose length is a multiple of 7, have no ``text``."""
     lines = F.transform(
         F.split("text", "\n"),
         lambda t, i: F.struct(
-            i.alias("n"), F.length(t).alias("chars"), F.col("lang").alias("lang"), F.nullif(t, F.lit("")).alias("text")
+            i.alias("n"), F.length(t).alias("chars"), F.col("lang").alias("lang"),
+            F.when(F.length(t) % 7 != 0, t).alias("text"),
         ),
     )
     head = F.struct(F.col("doc_id").alias("id"), F.col("lang").alias("lang"), F.col("source").alias("source"))
@@ -44,9 +45,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A conversation turn with one item per line; the text of a blank line is null."""
+    """A conversation turn with one item per line; the text is null where its length is a multiple of 3."""
     df = table(spark, sf_dir, "conversations")
-    parts = F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.alias("n"), F.nullif(t, F.lit("")).alias("text")))
+    parts = F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.alias("n"), F.when(F.length(t) % 3 != 0, t).alias("text")))
     head = F.struct(F.col("conv_id").alias("id"), F.col("turn").alias("turn"))
     body = F.to_json(F.struct(head.alias("conversation"), F.col("role").alias("role"), parts.alias("parts")), {"ignoreNullFields": "false"})
     return to_envelope(df.select("conv_id", "turn", body.cast("binary").alias("value")))
@@ -96,3 +97,38 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
     body = F.to_json(F.struct(order.alias("order"), line.alias("line")))
     return to_envelope(df.select("l_orderkey", "l_linenumber", "l_partkey", body.cast("binary").alias("value")))
+
+
+#: What ``props`` holds in a message of :func:`shaped_events`, by the remainder of its id; None: no such field.
+SHAPES = ('[{"k":1},{"k":"x"}]', '{"k":1}', "{}", '"text"', "7", "null", "[]", None)
+
+
+def shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose ``props`` is an array only in some; every other kind of value occurs too."""
+    shape = F.coalesce(*[F.when(F.col("event_id") % len(SHAPES) == n, F.lit("" if s is None else f',"props":{s}')) for n, s in enumerate(SHAPES)])
+    body = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), shape, F.lit("}"))
+    return _messages(table(spark, sf_dir, "events"), "event_id", body)
+
+
+def deep_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events nested as deep as the remainder of their id by 40."""
+    levels = (F.col("event_id") % 40).cast("int")
+    body = F.concat(F.repeat(F.lit('{"n":'), levels), F.lit('{"leaf":'), F.col("event_id").cast("string"), F.repeat(F.lit("}"), levels + 1))
+    return _messages(table(spark, sf_dir, "events"), "event_id", body)
+
+
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a boolean, a whole number wider than a long, a fraction and a null."""
+    body = F.concat(
+        F.lit('{"flag":'), (F.col("event_id") % 2 == 0).cast("string"), F.lit(',"wide":1234567890123456789'),
+        F.lpad(F.col("event_id").cast("string"), 9, "0"), F.lit(',"part":0.5,"none":null,"empty":{"a":[],"b":{}}}'),
+    )
+    return _messages(table(spark, sf_dir, "events"), "event_id", body)
+
+
+def odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents; in the first line of every fifth two fields have the same dotted path.  ``body`` is the message again."""
+    twice = F.regexp_replace(document_body(), r'"lines":\[\{"n":0,', '"lines":[{"n":0,"a.b":1,"a":{"b":2},')
+    body = F.when(F.col("doc_id") % 5 == 0, twice).otherwise(document_body())
+    df = table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
+    return to_envelope(df.withColumn("value", F.col("body").cast("binary")))

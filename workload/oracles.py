@@ -16,7 +16,7 @@ l AS (
   FROM raw),
 pg AS (
   SELECT doc_id, p, any_value(pages) AS pages, CAST(count(*) AS INTEGER) AS c,
-         string_agg('missing required field ''text'' in lines[' || i || ']', ', ' ORDER BY i) FILTER (WHERE t = '') AS bad
+         string_agg('missing required field ''text'' in lines[' || i || ']', ', ' ORDER BY i) FILTER (WHERE length(t) % 7 = 0) AS bad
   FROM l GROUP BY doc_id, p)
 """
 
@@ -33,7 +33,7 @@ def _items(array: str, text: str = "t", lang: str = "lang", where: str = "TRUE")
     return f"""SELECT doc_id, p AS page_index, '{array}.' || k || '.n' AS path, 'BIGINT' AS leaf_type, CAST(i AS VARCHAR) AS value FROM l WHERE {where}
 UNION ALL SELECT doc_id, p, '{array}.' || k || '.chars', 'BIGINT', CAST(length(t) AS VARCHAR) FROM l WHERE {where}
 UNION ALL SELECT doc_id, p, '{array}.' || k || '.lang', 'STRING', {lang} FROM l WHERE {where}
-UNION ALL SELECT doc_id, p, '{array}.' || k || '.text', 'STRING', {text} FROM l WHERE t <> '' AND {where}"""
+UNION ALL SELECT doc_id, p, '{array}.' || k || '.text', 'STRING', {text} FROM l WHERE length(t) % 7 <> 0 AND {where}"""
 
 
 def _event_leaves(kind: str = "event_type") -> str:
@@ -69,8 +69,8 @@ SELECT conv_id, turn, 'conversation.id' AS path, 'BIGINT' AS leaf_type, CAST(con
 UNION ALL SELECT conv_id, turn, 'conversation.turn', 'BIGINT', CAST(turn AS VARCHAR) FROM conversations
 UNION ALL SELECT conv_id, turn, 'role', 'STRING', role FROM conversations
 UNION ALL SELECT conv_id, turn, 'parts.' || i || '.n', 'BIGINT', CAST(i AS VARCHAR) FROM l
-UNION ALL SELECT conv_id, turn, 'parts.' || i || '.text', CASE WHEN t = '' THEN {kind} ELSE 'STRING' END,
-  CASE WHEN t = '' THEN {value} ELSE t END FROM l WHERE {where}"""
+UNION ALL SELECT conv_id, turn, 'parts.' || i || '.text', CASE WHEN length(t) % 3 = 0 THEN {kind} ELSE 'STRING' END,
+  CASE WHEN length(t) % 3 = 0 THEN {value} ELSE t END FROM l WHERE {where}"""
 
 
 _FAULT = "CASE event_type WHEN 'signup' THEN 'EMPTY' WHEN 'error' THEN 'PARSE' END"
@@ -106,14 +106,15 @@ def _csv(field: str) -> str:
     )
 
 
-# documents without any blank line
+# documents of which every line has a text
 _WHOLE = "doc_id NOT IN (SELECT doc_id FROM pg WHERE bad IS NOT NULL)"
 
 ORACLES: dict[str, str] = {
     "envelope_headers": """SELECT event_id, 'type' AS name, event_type AS content FROM events
 UNION ALL SELECT event_id, 'user', CAST(user_id AS VARCHAR) FROM events""",
     "parse_guard": f"SELECT event_id, {_FAULT} AS error_code FROM events",
-    "parse_lenient": "SELECT event_id, CAST(NULL AS VARCHAR) AS error_code, event_type AS kind FROM events",
+    "parse_lenient": """SELECT event_id, CASE WHEN event_type = 'error' THEN 'PARSE' END AS error_code,
+  CASE WHEN event_type <> 'error' THEN event_type END AS kind FROM events""",
     "required_paths": _events_checked(
         f"{_NO_USER} || ', missing required field ''trace'']'",
         "'Input schema validation failed: [missing required field ''trace'']'",
@@ -125,37 +126,53 @@ UNION ALL SELECT event_id, 'user', CAST(user_id AS VARCHAR) FROM events""",
   'Item validation failed: [' || bad || ']' AS error_message FROM pg""",
     "whole_messages": LINES
     + """SELECT doc_id, 'REQUIRED' AS error_code, 'Required field validation failed: [missing top-level field ''author''' ||
-  coalesce(', ' || string_agg('missing field ''text'' in lines[' || i || ']', ', ' ORDER BY i) FILTER (WHERE t = ''), '') || ']'
+  coalesce(', ' || string_agg('missing field ''text'' in lines[' || i || ']', ', ' ORDER BY i) FILTER (WHERE length(t) % 7 = 0), '') || ']'
   AS error_message FROM l GROUP BY doc_id""",
     "page_slices": LINES
     + """SELECT doc_id, p AS page_index, pages AS total_pages, c AS item_count, c AS n_items,
-  (SELECT nullif(t, '') FROM l WHERE l.doc_id = pg.doc_id AND l.p = pg.p AND k = 0) AS first_text FROM pg""",
-    "array_policy": """SELECT event_id, 'object' AS shape, 'NOT_ARRAY' AS error_code FROM events
-UNION ALL SELECT event_id, 'text', 'NOT_ARRAY' FROM events""",
+  (SELECT CASE WHEN length(t) % 7 <> 0 THEN t END FROM l WHERE l.doc_id = pg.doc_id AND l.p = pg.p AND k = 0) AS first_text FROM pg""",
+    # shapes by remainder: 0 array, 1 object, 2 empty object, 3 text, 4 number, 5 null, 6 empty array, 7 missing
+    "array_policy": """SELECT event_id, policy, CASE WHEN event_id % 8 = 0 THEN 0 ELSE -1 END AS page_index,
+  CASE WHEN event_id % 8 = 0 THEN 2 ELSE -1 END AS item_count, CASE WHEN event_id % 8 <> 0 THEN 'NOT_ARRAY' END AS error_code
+FROM events, (VALUES ('dlq'), ('drop')) AS p(policy) WHERE event_id % 8 IN (0, 1) OR policy = 'dlq' AND event_id % 8 <> 6""",
+    "message_account": """SELECT count(*) FILTER (WHERE event_id % 8 = 0) AS first_pages, 2 * count(*) FILTER (WHERE event_id % 8 = 0) AS pages,
+  count(*) FILTER (WHERE event_id % 8 NOT IN (0, 6)) AS letters FROM events""",
+    "deep_leaves": """SELECT event_id, repeat('n.', CAST(event_id % 40 AS INTEGER)) || 'leaf' AS path, 'BIGINT' AS leaf_type,
+  CAST(event_id AS VARCHAR) AS value FROM events""",
+    "typed_leaves": """SELECT event_id, 'flag' AS path, 'BOOLEAN' AS leaf_type, CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS value FROM events
+UNION ALL SELECT event_id, 'wide', 'DECIMAL(28,0)', '1234567890123456789' || lpad(CAST(event_id AS VARCHAR), 9, '0') FROM events
+UNION ALL SELECT event_id, 'part', 'DOUBLE', '0.5' FROM events
+UNION ALL SELECT event_id, 'none', 'VOID', NULL FROM events""",
+    "page_letters": LINES
+    + """SELECT doc_id, CASE WHEN bad IS NOT NULL THEN 'ITEM_REQUIRED' ELSE 'CONFLICT' END AS error_code, TRUE AS whole
+FROM pg WHERE bad IS NOT NULL OR doc_id % 5 = 0 AND p = 0""",
+    "entry_rejects": """SELECT event_id, event_id AS no, i AS entry_index, CAST(CASE WHEN i = 0 THEN 1 ELSE -1 END AS BIGINT) AS k, CASE WHEN i = 1 THEN 'TYPE' END AS error_code
+FROM events, (VALUES (CAST(0 AS INTEGER)), (CAST(1 AS INTEGER))) AS e(i) WHERE event_id % 8 = 0
+UNION ALL SELECT event_id, event_id, -1, -1, 'NOT_ARRAY' FROM events WHERE event_id % 8 NOT IN (0, 6)""",
     "page_json": LINES
     + """SELECT doc_id, '{"page":' || p || ',"pages":' || any_value(pages) || ',"size":' || count(*) || ',"rows":[' ||
   string_agg('{"n":' || i || ',"chars":' || length(t) || ',"lang":"' || lang || '"' ||
-    CASE WHEN t = '' THEN '' ELSE ',"text":' || CAST(to_json(t) AS VARCHAR) END || '}', ',' ORDER BY i) || ']}' AS page_json
+    CASE WHEN length(t) % 7 = 0 THEN '' ELSE ',"text":' || CAST(to_json(t) AS VARCHAR) END || '}', ',' ORDER BY i) || ']}' AS page_json
 FROM l GROUP BY doc_id, p""",
     "event_leaves": _event_leaves(),
     "line_leaves": _line_leaves(),
     "page_leaves": LINES + _counters() + "\nUNION ALL " + _items("rows"),
     "nulls_included": _turns("'VOID'", "NULL"),
-    "nulls_excluded": _turns("'VOID'", "NULL", "t <> ''"),
+    "nulls_excluded": _turns("'VOID'", "NULL", "length(t) % 3 <> 0"),
     "nulls_as_text": _turns("'STRING'", "''"),
     "wildcard_upper": LINES + _counters() + "\nUNION ALL " + _items("lines", UPPER.format("t")),
     "exact_upper": _event_leaves("upper(event_type)"),
     "udf_reverse": _line_leaves("'!' || {}"),
     "leaf_counters": LINES
     + """SELECT CAST(sum(f) AS BIGINT) AS fields_processed, count(*) FILTER (WHERE f = 0) AS no_match
-FROM (SELECT count(*) FILTER (WHERE t <> '') AS f FROM l GROUP BY doc_id, p)""",
+FROM (SELECT count(*) FILTER (WHERE length(t) % 7 <> 0) AS f FROM l GROUP BY doc_id, p)""",
     "mapped_fields": LINES
     + """SELECT doc_id, p AS page_index, 'index' AS path, 'INT' AS leaf_type, CAST(p AS VARCHAR) AS value FROM pg
-UNION ALL SELECT doc_id, p, 'rows.' || k || '.body', 'STRING', t FROM l WHERE t <> ''
-UNION ALL SELECT doc_id, p, 'rows.' || k || '.label', 'STRING', lang || ': ' || t || ' of ' || pages FROM l WHERE t <> ''""",
+UNION ALL SELECT doc_id, p, 'rows.' || k || '.body', 'STRING', t FROM l WHERE length(t) % 7 <> 0
+UNION ALL SELECT doc_id, p, 'rows.' || k || '.label', 'STRING', lang || ': ' || t || ' of ' || pages FROM l WHERE length(t) % 7 <> 0""",
     "entry_rows": LINES
     + """SELECT doc_id, source AS doc_source, CAST(i AS INTEGER) AS entry_index, CAST(i AS BIGINT) AS line_no,
-  nullif(t, '') AS line_text FROM l""",
+  CASE WHEN length(t) % 7 <> 0 THEN t END AS line_text FROM l""",
     "rebuilt_events": f"SELECT event_id, {_EVENT_JSON.replace('{kind}', 'event_type')} AS json, CAST(NULL AS VARCHAR) AS error_code FROM events",
     "rebuilt_lines": """SELECT l_orderkey, l_linenumber, l_partkey, '{"line":{"flags":["' || l_returnflag || '","' || l_linestatus ||
   '"],"n":' || l_linenumber || ',"part":{"id":' || l_partkey || ',"supplier":' || l_suppkey || '},"price":' || l_extendedprice ||
@@ -189,11 +206,11 @@ UNION ALL SELECT doc_id, 'absent', 'VOID', NULL FROM documents""",
     + """SELECT doc_id, p AS page_index, '{"count":' || count(*) || ',"index":' || p || ',"lines":[' ||
   string_agg('{"chars":' || length(t) || ',"lang":"' || upper(lang) || '","n":' || i || ',"text":' || CAST(to_json(t) AS VARCHAR) || '}', ',' ORDER BY i) ||
   '],"total":' || any_value(pages) || '}' AS json
-FROM l GROUP BY doc_id, p HAVING count(*) FILTER (WHERE t = '') = 0""",
+FROM l GROUP BY doc_id, p HAVING count(*) FILTER (WHERE length(t) % 7 = 0) = 0""",
     "flow_rejects": LINES
     + """, msg AS (SELECT doc_id, CAST(length('{"document":{"id":' || doc_id || ',"lang":"' || any_value(lang) || '","source":"' || any_value(source) || '"},"lines":[' ||
   string_agg('{"n":' || i || ',"chars":' || length(t) || ',"lang":"' || lang || '"' ||
-    CASE WHEN t = '' THEN '' ELSE ',"text":' || CAST(to_json(t) AS VARCHAR) END || '}', ',' ORDER BY i) || ']}') AS INTEGER) AS n_original
+    CASE WHEN length(t) % 7 = 0 THEN '' ELSE ',"text":' || CAST(to_json(t) AS VARCHAR) END || '}', ',' ORDER BY i) || ']}') AS INTEGER) AS n_original
   FROM l GROUP BY doc_id)
 SELECT doc_id, n_original, 'ITEM_REQUIRED' AS error_code, 'Item validation failed: [' || bad || ']' AS error_message
 FROM pg JOIN msg USING (doc_id) WHERE bad IS NOT NULL""",

@@ -58,7 +58,8 @@ def parse_guard(spark: S, d: str) -> D:
 
 
 def parse_lenient(spark: S, d: str) -> D:
-    body = F.concat(F.lit("{/* note */'id': "), F.col("event_id"), F.lit(", 'kind': '"), F.col("event_type"), F.lit("'}"))
+    end = F.when(F.col("event_type") == "error", "'").otherwise("'}")
+    body = F.concat(F.lit("{/* note */'id': "), F.col("event_id"), F.lit(", 'kind': '"), F.col("event_type"), end)
     df = m.table(spark, d, "events").select("event_id", body.cast("binary").alias("value"))
     parsed = parse_messages(to_envelope(df), lenient=True)
     return parsed.select("event_id", code(), F.try_variant_get("v", "$.kind", "string").alias("kind"))
@@ -75,7 +76,7 @@ def required_by_schema(spark: S, d: str) -> D:
 
 
 def items_by_page(spark: S, d: str) -> D:
-    pages = paginate(parse_messages(m.documents(spark, d)), "lines", PAGE)
+    pages = paginate(parse_messages(m.documents(spark, d)), "lines", PAGE, keep_value=True)
     return validate_items(pages, "lines", PAGE, ["text"]).select("doc_id", "page_index", "total_pages", "item_count", code(), message())
 
 
@@ -91,14 +92,42 @@ def page_slices(spark: S, d: str) -> D:
 
 
 def array_policy(spark: S, d: str) -> D:
-    # props is an object, type a string: neither is an array
-    as_object = paginate(parse_messages(m.events(spark, d)), "props", PAGE, on_non_array="reference")
-    as_text = paginate(parse_messages(m.events(spark, d)), "type", PAGE, on_non_array="dlq")
-    return as_object.select("event_id", F.lit("object").alias("shape"), code()).unionAll(
-        as_text.select("event_id", F.lit("text").alias("shape"), code())
+    def under(policy: str) -> D:
+        pages = paginate(parse_messages(m.shaped_events(spark, d)), "props", PAGE, on_non_array=policy)
+        counts = (F.coalesce(c, F.lit(-1)).alias(c) for c in ("page_index", "item_count"))
+        return pages.select("event_id", F.lit(policy).alias("policy"), *counts, code())
+
+    return under("dlq").unionAll(under("drop"))
+
+
+def message_account(spark: S, d: str) -> D:
+    """Each message is a first page, a letter or an empty array."""
+    pages = split_to_json(parse_messages(m.shaped_events(spark, d)), "props", 1, PageNames("props"))
+    return pages.agg(
+        F.count(F.when(F.col("page_index") == 0, 1)).alias("first_pages"), F.count("page_index").alias("pages"), F.count("error").alias("letters")
     )
 
 
+def deep_leaves(spark: S, d: str) -> D:
+    return explode_leaves(flatten_json(parse_messages(m.deep_events(spark, d))), ["event_id"])
+
+
+def typed_leaves(spark: S, d: str) -> D:
+    return explode_leaves(flatten_json(parse_messages(m.typed_events(spark, d))), ["event_id"])
+
+
+def page_letters(spark: S, d: str) -> D:
+    """Letters of pages that fail their items' rules or a later check; each holds the whole message."""
+    done = outcomes(m.odd_documents(spark, d), FLOW).where("error IS NOT NULL")
+    return done.select("doc_id", code(), (F.col("value") == F.col("body").cast("binary")).alias("whole"))
+
+
+def entry_rejects(spark: S, d: str) -> D:
+    rows = project_entries(parse_messages(m.shaped_events(spark, d)), "props", header={"no": ("id", "bigint")}, entry={"k": ("k", "bigint")})
+    entry = (F.coalesce(c, F.lit(-1)).alias(c) for c in ("entry_index", "k"))
+    return rows.select("event_id", "no", *entry, code())
+
+
 def page_json(spark: S, d: str) -> D:
     pages = split_to_json(parse_messages(m.documents(spark, d)), "lines", PAGE, PageNames("rows", "page", "pages", "size"))
     return pages.select("doc_id", F.col("value").cast("string").alias("page_json"))
@@ -286,7 +315,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         envelope_headers, parse_guard, parse_lenient, required_paths, required_by_schema, items_by_page,
-        whole_messages, page_slices, array_policy, page_json, event_leaves, line_leaves, page_leaves,
+        whole_messages, page_slices, array_policy, message_account, deep_leaves, typed_leaves, page_letters,
+        entry_rejects, page_json, event_leaves, line_leaves, page_leaves,
         nulls_included, nulls_excluded, nulls_as_text, wildcard_upper, exact_upper, udf_reverse, leaf_counters,
         mapped_fields, entry_rows, rebuilt_events, rebuilt_lines, path_conflicts, round_trip, csv_encoded,
         csv_decoded, csv_rejected, dead_letter_rows, dead_letter_json, chained_leaves, one_pass_leaves,
