@@ -9,7 +9,9 @@ sequences each pattern makes, and the ranked pieces of a class are dealt to them
 from __future__ import annotations
 
 import os
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,8 @@ _BUCKET_ROWS = 2_000
 _state: dict = {}
 
 
-def _word_ids(path: str):
-    """Tokenizer and ids by word, kept while the Python worker lives; the cache is emptied when it is full.
+def _state_of(path: str) -> dict:
+    """Tokenizer, ids by word and ids by stem, kept while the Python worker lives; a full cache is emptied.
 
     The tokenizer's pattern never matches across white space and its normalizers never act across it, so the ids of a
     text are those of its words in a row.
@@ -42,24 +44,40 @@ def _word_ids(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
-        _state.update(path=path, tokenizer=tokenizer, words={})
-    return _state["tokenizer"], _state["words"]
+        _state.update(path=path, tokenizer=tokenizer, words={}, stems={})
+    return _state
+
+
+def _stem(word: str) -> tuple[str, str]:
+    """A word of letters and the ASCII punctuation after it, which the tokenizer's pattern always parts; else the word.
+
+    The stem is in lower case, as the tokenizer makes it, but for the two letters whose lower case isn't one letter.
+    """
+    stem = word.rstrip(string.punctuation)
+    if not stem.isalpha() or "\u03a3" in stem or "\u0130" in stem:
+        return word, ""
+    return stem.lower(), word[len(stem):]
 
 
 def encode(texts_: list[str], path: str) -> Iterator[bytes]:
     """Little-endian unsigned 32-bit ids of each text, with the closing id."""
-    tokenizer, known = _word_ids(path)
-    if len(known) > _CACHED_WORDS:
-        known.clear()
+    state = _state_of(path)
+    words, stems = state["words"], state["stems"]
+    for cache in (words, stems):
+        if len(cache) > _CACHED_WORDS:
+            cache.clear()
     split = [t.replace("\n", " ").split(" ") for t in texts_]
-    new = list({w for words in split for w in words if w not in known})
-    for at in range(0, len(new), 20_000):
-        part = new[at:at + 20_000]
-        for word, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, dtype="<u4").tobytes()
-    end = np.array([END], dtype="<u4").tobytes()
-    for words in split:
-        yield b"".join(map(known.__getitem__, words)) + end
+    new = [(w, *_stem(w)) for w in set().union(*split) if w not in words]
+    unseen = list({x for _, stem, rest in new for x in (stem, rest) if x not in stems})
+    for at in range(0, len(unseen), 20_000):
+        part = unseen[at:at + 20_000]
+        for stem, got in zip(part, state["tokenizer"].encode_batch_fast(part, add_special_tokens=False), strict=True):
+            stems[stem] = array("I", got.ids).tobytes()
+    for word, stem, rest in new:
+        words[word] = stems[stem] + stems[rest]
+    end = array("I", [END]).tobytes()
+    for parts in split:
+        yield b"".join(map(words.__getitem__, parts)) + end
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
