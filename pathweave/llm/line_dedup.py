@@ -71,8 +71,23 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(h[inside]), np.repeat(np.arange(len(lines)), counts - SHINGLE + 1)
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line."""
+def signatures(lines: list[str], most: int = 1 << 19) -> np.ndarray:
+    """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line.
+
+    The work arrays hold about ``most`` characters at a time, or those of one longer line.
+    """
+    out, start, size = [np.zeros((0, BANDS), dtype=np.uint64)], 0, 0
+    for i, line in enumerate(lines):
+        if i > start and size + len(line) > most:
+            out.append(_signatures(lines[start:i]))
+            start, size = i, 0
+        size += len(line)
+    if start < len(lines):
+        out.append(_signatures(lines[start:]))
+    return np.concatenate(out)
+
+
+def _signatures(lines: list[str]) -> np.ndarray:
     h, owner = shingle_hashes(lines)
     bins = BANDS * ROWS // FUNCTIONS
     out = []
