@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from pathweave.llm.scratch import dropped, written
+
 CHUNK = 1 << 18
 #: Upper bound of one bitmap row: 2^30 cells, 128 MB.
 MOST_CELLS = 1 << 30
@@ -73,8 +75,10 @@ def merged(payloads: DataFrame, cells: int, rows: int, least: int) -> list[np.nd
     per_row = cells // CHUNK
     parts = max(1, min(rows * per_row, int(payloads.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     out = np.zeros((rows * per_row, CHUNK // 8), dtype=np.uint8)
-    for row in payloads.repartition(parts, "chunk").mapInArrow(_merge(least), "chunk long, bits binary").toLocalIterator():
+    chunks = written(payloads.repartition(parts, "chunk").mapInArrow(_merge(least), "chunk long, bits binary"), "bitmap")
+    for row in chunks.toLocalIterator(prefetchPartitions=True):
         out[row.chunk] = np.frombuffer(row.bits, dtype=np.uint8)
+    dropped(chunks)
     return [out[r * per_row:(r + 1) * per_row].reshape(-1) for r in range(rows)]
 
 
