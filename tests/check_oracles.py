@@ -16,7 +16,10 @@ import __spark_entry__ as entry  # noqa: E402
 
 def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for name in ("customer", "lineitem", "events", "documents", "conversations", "orders", "pages"):
+    for name in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+        "pages", "benchmark", "labels", "conversations",
+    ):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
 
@@ -27,6 +30,9 @@ def rows(frame) -> list[tuple]:
 
 
 def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
+    if name not in entry.oracle_sql():  # no SQL says the same; the tests hold it against brute force
+        entry.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return ""
     got = entry.queries()[name](spark, sf_dir).toPandas()
     want = con.execute(entry.oracle_sql()[name]).df()
     if sorted(got.columns) != sorted(want.columns):
