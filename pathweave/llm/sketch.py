@@ -8,15 +8,17 @@ it answers "perhaps" for every item.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from pathweave.llm.scratch import dropped, written
 
-CHUNK = 1 << 18
+CHUNK = 1 << 20
 #: Upper bound of one bitmap row: 2^30 cells, 128 MB.
 MOST_CELLS = 1 << 30
 PAYLOAD = "chunk long, width int, gaps binary"
@@ -43,7 +45,8 @@ def payload(hit: np.ndarray, first_chunk: int, least: int) -> list[tuple[int, in
     for chunk, part in zip(chunks.tolist(), np.split(hit, starts[1:]), strict=True):
         gaps = np.diff(part - np.uint64(chunk * CHUNK), prepend=np.uint64(0))
         kind = np.min_scalar_type(int(gaps.max()))
-        out.append((first_chunk + chunk, kind.itemsize, gaps.astype(kind).tobytes()))
+        planes = gaps.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T  # the upper bytes are nearly all alike
+        out.append((first_chunk + chunk, kind.itemsize, zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())))
     return out
 
 
@@ -57,7 +60,8 @@ def _merge(least: int):
         counts: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, width, gaps in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                at = np.cumsum(np.frombuffer(gaps, dtype=f"u{width}"), dtype=np.int64)
+                planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(gaps), dtype=np.uint8).reshape(width, -1)
+                at = np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(f"u{width}"), dtype=np.int64)
                 seen = counts.setdefault(chunk, np.zeros(CHUNK, dtype=np.uint8))
                 for _ in range(least):  # a cell repeats up to ``least`` times in a row, so take runs apart
                     new = np.concatenate(([True], at[1:] != at[:-1])) if len(at) else np.zeros(0, dtype=bool)
@@ -79,6 +83,11 @@ def merged(payloads: DataFrame, cells: int, rows: int, least: int) -> list[np.nd
     for row in chunks.toLocalIterator(prefetchPartitions=True):
         out[row.chunk] = np.frombuffer(row.bits, dtype=np.uint8)
     dropped(chunks)
+    # the sketches' shuffle is of no more use; Spark deletes its files once nothing refers to it
+    spark = chunks.sparkSession
+    del payloads, chunks
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return [out[r * per_row:(r + 1) * per_row].reshape(-1) for r in range(rows)]
 
 

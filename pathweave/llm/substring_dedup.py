@@ -79,6 +79,7 @@ def _candidates(bitmaps, cells: int, width: int):
             lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
             early = (ids[doc] == ids[doc[lead]]) & (start == start[lead])
             go = np.flatnonzero(early)
+            go = go[np.lexsort((start[go], doc[go]))]  # neighbours in a document share most bytes of their rows
             late = np.flatnonzero(~early)
             late = late[np.argsort(doc[late], kind="stable")]
             owners, at = np.unique(doc[late], return_index=True)
