@@ -36,6 +36,11 @@ PATTERNS = {
     "name": r"(?<!\p{L})(?:" + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? " + _TOKEN + r"(?: " + _TOKEN + r"){0,2}(?!\p{L})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# What every match contains or begins with; quick to look for, and rare.
+_SIGNS = (
+    r"[@+0-9]|(?=[" + "".join(sorted({t[0] for t in FEMALE_TITLES + MALE_TITLES})) + r"Asg])(?:(?<!\p{L})(?:"
+    + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? |AKIA|sk-|gh[pousr]_)|[a-fA-F]{32}"
+)
 _TITLE = r"^(?:" + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? "
 
 # Syllables that names are made of, by script.
@@ -220,7 +225,7 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     own = ("text", "n_chars", "n_replaced", "kinds", "_hash", "_hit")
     kept = [c for c in docs.columns if c not in own]
     base = docs.select(*[named(c) for c in kept], F.coalesce("text", F.lit("")).alias("text"))
-    marked = once(base, _hit=F.col("text").rlike(PATTERN))
+    marked = once(base, _hit=F.when(F.col("text").rlike(_SIGNS), F.col("text").rlike(PATTERN)).otherwise(False))
     hits = marked.filter("_hit").drop("_hit").withColumn("_hash", F.xxhash64("doc_id", "text"))
     found = hits.select("doc_id", "_hash", "text").dropDuplicates(["doc_id", "_hash"])
     matches = found.select("doc_id", "_hash", F.posexplode(F.regexp_extract_all("text", F.lit(PATTERN), 0)).alias("pos", "value"))
