@@ -11,13 +11,15 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ from pathweave.llm.scratch import texts
 
 #: One space between two characters that are no white space: the pattern always splits before it.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_ADJACENT = re.compile(r"\s\s")
+#: Bytes of text in a block.
+_BLOCK = 2 << 20
 _MEMO = 500_000
 _state: dict = {}
 
@@ -43,39 +48,57 @@ def _pattern() -> regex.Pattern:
     return regex.compile(own.replace(r"(?!\S)", rf"(?!\P{{White_Space}})").replace(r"\s", space))
 
 
-def _coded(batch: pa.RecordBatch, pattern: regex.Pattern) -> tuple[list[bytes], list[bytes]]:
-    """Distinct pre-tokens of a block, as UTF-8, and each document's places among them (unsigned 32-bit)."""
-    stretches: dict[str, bytes] = {}
-    words: dict[str, int] = {}
-    places = []
-    for text in batch.column("text").to_pylist():
-        out = []
-        for i, part in enumerate(_BETWEEN.split(text)):
-            part = " " + part if i else part
-            code = stretches.get(part)
-            if code is None:
-                code = np.array([words.setdefault(w, len(words)) for w in pattern.findall(part)], dtype="<u4").tobytes()
-                stretches[part] = code
-            out.append(code)
-        places.append(b"".join(out))
-    return [w.encode("utf-8", "surrogatepass") for w in words], places
+class _Block:
+    """Distinct pre-tokens of some texts, in order, and the places of each text's pre-tokens among them.
+
+    A text without two white-space characters in a row is cut at its spaces: the pattern always splits before a single
+    space between two other characters. A stretch between two cuts is split by the pattern once a block.
+    """
+
+    def __init__(self, texts_: list[str], pattern: regex.Pattern) -> None:
+        self._cut = [_BETWEEN.split(t) if _ADJACENT.search(t) or t[:1].isspace() or t[-1:].isspace() else t.split(" ") for t in texts_]
+        after = set().union(*(c[1:] for c in self._cut))
+        self._first = {c[0]: pattern.findall(c[0]) for c in self._cut}
+        self._after = {part: pattern.findall(" " + part) for part in after}
+        found = (x for stretches in (self._first, self._after) for x in stretches.values())
+        self.words = sorted(set().union(*found))
+
+    def places(self) -> list[np.ndarray]:
+        of = {w: i for i, w in enumerate(self.words)}
+        first, after = (
+            {part: array("I", [of[w] for w in found]).tobytes() for part, found in stretches.items()}
+            for stretches in (self._first, self._after)
+        )
+        return [np.frombuffer(first[c[0]] + b"".join(map(after.__getitem__, c[1:])), dtype="<u4") for c in self._cut]
+
+    def encoded(self) -> list[bytes]:
+        return [w.encode("utf-8", "surrogatepass") for w in self.words]
 
 
 def _block_id(words: list[bytes]) -> bytes:
     """Name of a block by its dictionary, so that both passes over the documents give it the same one."""
-    made = hashlib.blake2b(digest_size=16)
-    for w in words:
-        made.update(len(w).to_bytes(4, "little") + w)
-    return made.digest()
+    lengths = np.array([len(w) for w in words], dtype="<u4").tobytes()
+    return hashlib.blake2b(lengths + b"".join(words), digest_size=16).digest()
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed byte plane by byte plane."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
 def _pack(items: list[bytes]) -> bytes:
     lengths = np.array([len(x) for x in items], dtype="<u4")
-    return zlib.compress(lengths.tobytes() + b"".join(items), 1)
+    return zstandard.ZstdCompressor(level=3).compress(lengths.tobytes() + b"".join(items))
 
 
 def _unpack(data: bytes, count: int) -> list[bytes]:
-    raw = zlib.decompress(data)
+    raw = zstandard.ZstdDecompressor().decompress(data)
     ends = np.cumsum(np.frombuffer(raw, dtype="<u4", count=count).astype(np.int64)) + 4 * count
     starts = np.concatenate(([4 * count], ends[:-1]))
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
@@ -90,15 +113,16 @@ def _requests(shards: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = _pattern()
-        for batch in bounded(batches, "text"):
-            words, _ = _coded(batch, pattern)
+        for batch in bounded(batches, "text", _BLOCK):
+            words = _Block(batch.column("text").to_pylist(), pattern).encoded()
             if not words:
                 continue
             of, block = _shards(words, shards), _block_id(words)
-            own = [(int(s), [words[i] for i in np.flatnonzero(of == s)]) for s in np.unique(of)]
+            order = np.argsort(of, kind="stable")
+            own = [[words[i] for i in part.tolist()] for part in np.split(order, np.flatnonzero(np.diff(of[order])) + 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in own], pa.int32()), pa.array([block] * len(own), pa.binary()),
-                 pa.array([len(w) for _, w in own], pa.int32()), pa.array([_pack(w) for _, w in own], pa.binary())],
+                [pa.array(np.unique(of), pa.int32()), pa.array([block] * len(own), pa.binary()),
+                 pa.array([len(w) for w in own], pa.int32()), pa.array([_pack(w) for w in own], pa.binary())],
                 ["shard", "block", "count", "words"],
             )
 
@@ -125,7 +149,7 @@ def _answers(path: str):
                 for word in _unpack(data, count):
                     got = known.get(word)
                     if got is None:
-                        got = known[word] = np.array(encoding.encode_ordinary(word.decode("utf-8", "surrogatepass")), dtype="<u4").tobytes()
+                        got = known[word] = array("I", encoding.encode_ordinary(word.decode("utf-8", "surrogatepass"))).tobytes()
                     ids.append(got)
                 answers.append(_pack(ids))
             yield pa.RecordBatch.from_arrays(
@@ -136,18 +160,20 @@ def _answers(path: str):
 
 
 def _places(shards: int):
-    """Each block's documents as places in its dictionary, with the sizes and shards of the words."""
+    """Each block's documents as places in its dictionary, with the shards of the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = _pattern()
-        for batch in bounded(batches, "text"):
-            words, places = _coded(batch, pattern)
+        for batch in bounded(batches, "text", _BLOCK):
+            block = _Block(batch.column("text").to_pylist(), pattern)
+            words, places = block.encoded(), block.places()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_block_id(words)], pa.binary()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(batch.column("doc_id").type)),
-                 pa.array([[zlib.compress(p, 1) for p in places]], pa.list_(pa.binary())),
-                 pa.array([zlib.compress(_shards(words, shards).astype("<u4").tobytes(), 1)], pa.binary())],
-                ["block", "doc_ids", "places", "shards"],
+                 pa.array([[len(p) for p in places]], pa.list_(pa.int64())),
+                 pa.array([_squeezed(np.concatenate(places))], pa.binary()),
+                 pa.array([_squeezed(_shards(words, shards))], pa.binary())],
+                ["block", "doc_ids", "sizes", "places", "shards"],
             )
 
     return run
@@ -157,11 +183,11 @@ def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
     """Ids of the documents of one block: the answers by word, taken in the order of each document's places."""
     docs, ids = [], []
     of = {s: (n, data) for s, n, data in zip(*(right.column(c).to_pylist() for c in ("shard", "count", "ids")), strict=True)}
-    for doc_ids, places, packed in zip(*(left.column(c).to_pylist() for c in ("doc_ids", "places", "shards")), strict=True):
-        shards = np.frombuffer(zlib.decompress(packed), dtype="<u4")
+    columns = (left.column(c).to_pylist() for c in ("doc_ids", "sizes", "places", "shards"))
+    for doc_ids, sizes, packed, owners in zip(*columns, strict=True):
+        shards = _numbers(owners)
         table: list = [None] * len(shards)
-        order = np.argsort(shards, kind="stable").tolist()
-        at = 0
+        order, at = np.argsort(shards, kind="stable").tolist(), 0
         for shard in np.unique(shards).tolist():
             if shard not in of:
                 raise ValueError("the documents changed between two reads; write them to a table first")
@@ -169,9 +195,10 @@ def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
             for i, word in zip(order[at:at + count], _unpack(data, count), strict=True):
                 table[i] = word
             at += count
-        for doc, place in zip(doc_ids, places, strict=True):
+        places = _numbers(packed)
+        for doc, end, size in zip(doc_ids, np.cumsum(sizes).tolist(), sizes, strict=True):
             docs.append(doc)
-            ids.append(b"".join([table[i] for i in np.frombuffer(zlib.decompress(place), dtype="<u4").tolist()]))
+            ids.append(b"".join(map(table.__getitem__, places[end - size:end].tolist())))
     return pa.table([pa.array(docs, left.schema.field("doc_ids").type.value_type), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
 
@@ -182,14 +209,25 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     columns are ignored; an empty table gives no rows. ``docs`` is read twice; if a block isn't the same
     the second time, the job fails. There are as many shards as shuffle partitions, so set these by the size of the data.
     """
+    return _in_blocks(docs, path, _assembled, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary")
+
+
+def _in_blocks(docs: DataFrame, path: str | None, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Join the answers to the blocks and let ``finish`` make the rows of each block's documents."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs)
     asked = rows.select("text").mapInArrow(_requests(shards), "shard int, block binary, count int, words binary")
     given = asked.repartition(shards, "shard").mapInArrow(_answers(path), "shard int, block binary, count int, ids binary")
-    blocks = rows.mapInArrow(_places(shards), f"block binary, doc_ids array<{kind}>, places array<binary>, shards binary")
-    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(_assembled, f"doc_id {kind}, ids binary")
+    blocks = rows.mapInArrow(_places(shards), f"block binary, doc_ids array<{kind}>, sizes array<long>, places binary, shards binary")
+    return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(finish, schema)
+
+
+def _token_table(docs: DataFrame, path: str | None):
+    """The token-byte table on every executor: as many entries as the vocabulary, some 50,000 or half a megabyte."""
+    table = {i: token for token, i in ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")).items()}
+    return docs.sparkSession.sparkContext.broadcast(table)
 
 
 def _decoded(table):
@@ -197,8 +235,8 @@ def _decoded(table):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = table.value
-        for batch in batches:
-            data = [b"".join([token[i] for i in np.frombuffer(x, dtype="<u4").tolist()]) for x in batch.column("ids").to_pylist()]
+        for batch in bounded(batches, "ids"):
+            data = [b"".join(map(token.__getitem__, np.frombuffer(x, dtype="<u4").tolist())) for x in batch.column("ids").to_pylist()]
             yield batch.append_column("bytes", pa.array(data, pa.binary()))
 
     return run
@@ -207,27 +245,38 @@ def _decoded(table):
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` (``doc_id, ids``) with ``bytes``: a map-side join with the token-byte table.
 
-    The table has as many entries as the vocabulary, some 50,000 or half a megabyte, and is sent to each executor once.
-    An id that isn't in it fails the job; null ids count as none.
+    An id that isn't in the table fails the job; null ids count as none.
     """
-    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    table = encoded.sparkSession.sparkContext.broadcast({i: token for token, i in ranks(path).items()})
     kind = dict(encoded.dtypes)["doc_id"]
     rows = encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
-    return rows.mapInArrow(_decoded(table), f"doc_id {kind}, ids binary, bytes binary")
+    return rows.mapInArrow(_decoded(_token_table(encoded, path)), f"doc_id {kind}, ids binary, bytes binary")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = [np.frombuffer(x, dtype="<u4") for x in batch.column("ids").to_pylist()]
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-            pa.array([hashlib.sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]),
-            pa.array([hashlib.sha256(x).hexdigest() for x in batch.column("bytes").to_pylist()]),
-        ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    texts_: dict[int, str] = {}  # of the ids that occur; as many as the vocabulary at most
+    for batch in bounded(batches, "ids"):
+        counts, hashes = [], []
+        for x in batch.column("ids").to_pylist():
+            ids = np.frombuffer(x, dtype="<u4").tolist()
+            texts_.update((i, str(i)) for i in set(ids) if i not in texts_)
+            counts.append(len(ids))
+            hashes.append(hashlib.sha256(" ".join(map(texts_.__getitem__, ids)).encode()).hexdigest())
+        decoded = [hashlib.sha256(x).hexdigest() for x in batch.column("bytes").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the bytes that they decode to."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the bytes that they decode to.
+
+    The same as the digests of ``decode(encode(docs))``, but a block is put together, decoded and digested in one Python step.
+    """
+    decoded = _decoded(_token_table(docs, path))
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(_digests(decoded(iter(_assembled(left, right).to_batches(max_chunksize=1000))))))
+
     kind = dict(docs.dtypes)["doc_id"]
-    return decode(encode(docs, path), path).mapInArrow(_digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _in_blocks(docs, path, finish, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

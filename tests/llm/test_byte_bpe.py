@@ -35,3 +35,10 @@ def test_odd_texts_repeats_and_clashing_columns(spark):
 def test_no_rows_and_only_empty_texts(spark):
     assert byte_bpe.round_trip(docs(spark, [])).collect() == []
     assert sorted(map(tuple, byte_bpe.round_trip(docs(spark, [(1, ""), (2, None)])).collect())) == want([(1, ""), (2, None)])
+
+
+def test_encode_then_decode(spark):
+    rows = [(1, "one two  three\n"), (2, None), (None, "é漢")]
+    out = byte_bpe.decode(byte_bpe.encode(docs(spark, rows))).collect()
+    assert sorted(((r.doc_id, bytes(r.bytes).decode()) for r in out), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
+    assert byte_bpe.decode(spark.createDataFrame([(5, None)], "doc_id long, ids binary")).first().bytes == b""
