@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathweave.llm.scratch import written
+
 #: Tokens that a repeated run has at least.
 RUN = 8
 #: Pages in one suffix array, about.
@@ -203,6 +205,28 @@ def main_text(page: str, repeated: list[int], run: int = RUN) -> str:
     return "\n".join(out)
 
 
+def _is_open(page: str) -> bool:
+    """Whether markup alone doesn't settle the page's text."""
+    return any(kind == "plain" for kind, _ in blocks(page))
+
+
+def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the pages that markup settles."""
+    for batch in batches:
+        found = [blocks(x) for x in batch.column("html").to_pylist()]
+        at = pa.array([i for i, f in enumerate(found) if all(kind != "plain" for kind, _ in f)], pa.int64())
+        made = ["\n".join(words for kind, words in found[i] if kind == "article") for i in at.to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id").take(at), batch.column("url").take(at), pa.array(made, pa.string()), pa.array([len(t) for t in made], pa.int64())],
+            ["page_id", "url", "text", "n_chars"],
+        )
+
+
+def _open_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([_is_open(x) for x in batch.column("html").to_pylist()], pa.bool_()))
+
+
 def _texts(run: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,10 +257,13 @@ def extract(pages: DataFrame, run: int = RUN, pages_each: int = PAGES) -> DataFr
     tokens = rows.select(host, "page", "html").mapInArrow(_tokens, "host string, page long, tokens array<string>").filter(F.size("tokens") >= run)
     many = rows.select(host).groupBy("host").agg(F.ceil(F.count("*") / F.lit(pages_each)).cast("int").alias("arrays"))
     dealt = tokens.join(many, "host").withColumn("array", F.pmod("page", "arrays")).drop("arrays")
-    classes = dealt.groupBy("host", "array").applyInArrow(_classes(run), "host string, key binary, page long, starts array<int>")
+    dealt = dealt.repartition("host", "array")  # or the join would leave all arrays of a host in one task
+    classes = written(dealt.groupBy("host", "array").applyInArrow(_classes(run), "host string, key binary, page long, starts array<int>"), "runs")
     several = classes.groupBy("host", "key").agg(F.min("page").alias("a"), F.max("page").alias("b")).filter("a <> b").select("host", "key")
     starts = classes.join(several, ["host", "key"]).groupBy("page").agg(F.collect_list("starts").alias("starts"))
     kind = dict(pages.dtypes)["page_id"]
-    return rows.join(starts.hint("shuffle_hash"), "page", "left").select("page_id", "url", "html", "starts").mapInArrow(
-        _texts(run), f"page_id {kind}, url string, text string, n_chars long"
-    )
+    result = f"page_id {kind}, url string, text string, n_chars long"
+    settled = rows.select("page_id", "url", "html").mapInArrow(_settled, result)
+    left = rows.mapInArrow(_open_pages, f"page_id {kind}, url string, html string, page long")  # only these pages are shuffled
+    joined = left.join(starts.hint("shuffle_hash"), "page", "left").select("page_id", "url", "html", "starts")
+    return settled.unionByName(joined.mapInArrow(_texts(run), result))
