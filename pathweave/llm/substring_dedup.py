@@ -1,8 +1,8 @@
 """Removal of repeated passages: windows of words, sifted by a count-min sketch, then grouped exactly.
 
 A first pass makes sketches of the windows' hashes and merges them; the merged sketch never counts a window
-too low. A second pass groups only the windows that it takes for repeated, by 128-bit hashes: within a block of documents
-at once, and the earliest of each block across the corpus. No key gathers more rows than there are blocks.
+too low. A second pass groups only the windows that it takes for repeated: by 128-bit hashes within a
+block of documents, and the earliest of each block by 96 of these bits across the corpus. No key gathers more rows than there are blocks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,7 +88,7 @@ def _candidates(bitmaps, cells: int, width: int):
             who = np.concatenate((doc[go], owners)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate((h[go, 0].view(np.int64), ids[owners]))),
-                pa.array(np.concatenate((h[go, 1].view(np.int64), tags[owners]))),
+                pa.array(np.concatenate(((h[go, 1] >> np.uint64(32)).astype(np.int64), tags[owners]))),
                 batch.column("doc_id").take(pa.array(who)),
                 pa.array(tags[who] << 32 | np.concatenate((start[go], np.zeros(len(owners), dtype=np.int64)))),
                 pa.array([None] * len(go) + packed, pa.binary()),
@@ -96,15 +97,23 @@ def _candidates(bitmaps, cells: int, width: int):
     return run
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the one shuffle they go through."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in bounded(batches, "text"):
+        data = pa.array([pack(x.as_buffer()) for x in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), data], ["doc_id", "tag", "packed"])
+
+
 def _cleaned(width: int):
     """Drop the words that a removed window covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, gone, kept_text = [], [], []
-            columns = (batch.column(c) for c in ("text", "starts", "known"))
-            for text, starts, known in zip(*columns, strict=True):
-                words = text.as_buffer().to_pybytes().split()
+            columns = (batch.column(c) for c in ("packed", "starts", "known"))
+            for packed, starts, known in zip(*columns, strict=True):
+                words = zstandard.ZstdDecompressor().decompress(packed.as_buffer()).split()
                 total.append(len(words))
                 at = [np.asarray(starts.values, dtype=np.int64)] if starts.is_valid else []
                 at += [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in known.as_py() or ()]
@@ -131,7 +140,7 @@ def dedup(docs: DataFrame, width: int = WORDS) -> DataFrame:
 
     A null text counts as empty. A null id is the smallest id. Rows that repeat an id are one document: a window
     at the same start of another row with this id isn't earlier. Ids are integers. Other columns are ignored;
-    an empty table gives no rows. ``docs`` is read three times and must give the same rows each time.
+    an empty table gives no rows. ``docs`` is read four times and must give the same rows each time.
     """
     context = docs.sparkSession.sparkContext
     rows = texts(docs).select("doc_id", F.col("text").cast("binary").alias("text"), F.hash("doc_id", "text").alias("tag"))
@@ -146,6 +155,7 @@ def dedup(docs: DataFrame, width: int = WORDS) -> DataFrame:
     by_doc = late.groupBy(F.col("doc_id").alias("_id"), F.shiftright("place", 32).cast("int").alias("_tag")).agg(
         F.collect_list(F.when(F.isnull("known"), start)).alias("starts"), F.collect_list("known").alias("known")
     )
-    same = rows["doc_id"].eqNullSafe(by_doc["_id"]) & (rows["tag"] == by_doc["_tag"])
-    joined = rows.join(by_doc.hint("shuffle_hash"), same, "left").select("doc_id", "text", "starts", "known")
+    small = rows.mapInArrow(_squeezed, f"doc_id {kind}, tag int, packed binary")
+    same = small["doc_id"].eqNullSafe(by_doc["_id"]) & (small["tag"] == by_doc["_tag"])
+    joined = small.join(by_doc.hint("shuffle_hash"), same, "left").select("doc_id", "packed", "starts", "known")
     return joined.mapInArrow(_cleaned(width), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
