@@ -30,7 +30,7 @@ from pathweave.llm.scratch import texts
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _ADJACENT = re.compile(r"\s\s")
 #: Bytes of text in a block.
-_BLOCK = 2 << 20
+_BLOCK = 4 << 20
 _MEMO = 500_000
 _state: dict = {}
 
