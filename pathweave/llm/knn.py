@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pathweave.llm.scratch import written
 
 _SCALE = 1024
-_OUT = "query_id long, vec_id long, score long"
+_OUT = "query long, query_id long, vec_id long, score long"
+_ASKED = "query long, vec_id long, v array<long>, cell int"
 
 
 def integer_vectors(vectors: DataFrame) -> DataFrame:
@@ -58,8 +59,8 @@ def _cells(pivots: np.ndarray):
 def _needed(pivots: np.ndarray, count: np.ndarray, radius: np.ndarray, k: int):
     """Send each query to the cells that can hold one of its best.
 
-    A cell's products with q lie within |q| times its radius of q's product with the pivot. The k + 1 rows of
-    the best lower bounds (one of them may be the query) give a score that the k-th best can't be below.
+    A cell's products with q lie within |q| times its radius of q's product with the pivot. The k rows
+    of the best lower bounds, and as many more as have the query's own id, give a score that the k-th best can't be below.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,11 +70,12 @@ def _needed(pivots: np.ndarray, count: np.ndarray, radius: np.ndarray, k: int):
             reach = np.sqrt((q * q).sum(1))[:, None] * radius * (1 + 1e-9) + 1 + 1e-9 * np.abs(middle)
             low, high = middle - reach, middle + reach
             order = np.argsort(-low, axis=1)
-            enough = np.cumsum(count[order], axis=1) >= k + 1
+            enough = np.cumsum(count[order], axis=1) >= k + batch["own"].to_numpy()[:, None]
             at = np.where(enough.any(1), enough.argmax(1), len(count) - 1)
             floor = np.take_along_axis(low, np.take_along_axis(order, at[:, None], 1), 1)
             rows, cells = np.nonzero((high >= floor) & (count > 0))
-            yield pd.DataFrame({"vec_id": batch["vec_id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "cell": cells.astype(np.int32)})
+            taken = {c: batch[c].to_numpy()[rows] for c in ("query", "vec_id", "v")}
+            yield pd.DataFrame({**taken, "cell": cells.astype(np.int32)})
 
     return run
 
@@ -89,11 +91,12 @@ def _best(k: int, width: int):
             for at in range(0, len(queries), 512):
                 part = queries.iloc[at:at + 512]
                 scores = _products(_matrix(part["v"], width), b)
-                for own, row in zip(part["vec_id"], scores, strict=True):
-                    order = np.argsort(-row, kind="stable") if len(row) <= 4 * k else _top(row, k + 1)
-                    order = order[ids[order] != own][:k]
-                    out.append(pd.DataFrame({"query_id": own, "vec_id": ids[order], "score": row[order]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+                for query, own, row in zip(part["query"], part["vec_id"], scores, strict=True):
+                    others = np.flatnonzero(ids != own)
+                    row = row[others]
+                    order = np.argsort(-row, kind="stable")[:k] if len(row) <= 4 * k else _top(row, k)
+                    out.append(pd.DataFrame({"query": query, "query_id": own, "vec_id": ids[others[order]], "score": row[order]}))
+        return pd.concat(out) if out else pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
     return run
 
@@ -108,44 +111,46 @@ def _top(row: np.ndarray, k: int) -> np.ndarray:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 32, data_block: int = 8192, query_block: int = 4096) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for each row of ``queries`` the ``k`` rows of ``vectors`` with the highest product.
+    """``query_id, rank, vec_id, score``: for each distinct row of ``queries`` the ``k`` rows of ``vectors`` with the highest product.
 
     Both have ``vec_id`` and ``embedding``. Vectors become whole numbers, floor(1024 x). A query's own row (equal
     ``vec_id``) is no candidate; ties go to the smaller ``vec_id``; fewer than ``k`` candidates are all returned.
     Data fall into the cells of ``pivots`` of their own vectors; a cell's count and radius bound its products, and
     a query goes only to cells that can hold one of its best. Cells are dealt into blocks of about ``data_block``
     rows and the queries of a cell into blocks of about ``query_block``, so that no cell outgrows a task, even if
-    most vectors are equal; each pair of blocks gives ``k`` rows per query.
+    most vectors or ids are equal; each pair of blocks gives ``k`` rows per query.
 
     Null ids, null vectors and vectors with null or non-finite parts take no part. Vectors of unequal length are
     compared as if the shorter ended in zeros; an empty vector scores zero. Rows that repeat an id are candidates
-    each. Scores beyond a long are clipped to it. Other columns are ignored; no rows in, no rows out.
+    each; queries of one id and different vectors have ranks of their own. Scores beyond a long are clipped to it. Other columns are ignored; no rows in, no rows out.
     """
     spark = vectors.sparkSession
-    data = written(integer_vectors(vectors), "vectors")
-    asked = integer_vectors(queries)
+    data = written(integer_vectors(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    asked = integer_vectors(queries).distinct().withColumn("query", F.monotonically_increasing_id())
+    own = data.join(asked.select("vec_id").distinct(), "vec_id", "left_semi").groupBy("vec_id").agg(F.count("*").alias("own"))
+    asked = written(asked.join(own, "vec_id", "left").select("query", "vec_id", "v", F.coalesce("own", F.lit(0)).alias("own")), "queries")
     seen = [r.v for r in data.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()]
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not seen:
         return empty
     width = max(data.agg(F.max(F.size("v"))).first()[0], asked.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0], 1)
     centres = _matrix(seen, width).astype(np.float64)
-    celled = written(data.mapInPandas(_cells(centres), "vec_id long, v array<long>, cell int, apart double"), "cells")
+    celled = written(data.mapInPandas(_cells(centres), "vec_id long, v array<long>, row long, cell int, apart double"), "cells")
     summary = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("apart").alias("radius")).collect()
     count, radius = np.zeros(len(seen), dtype=np.int64), np.zeros(len(seen))
     for row in summary:
         count[row.cell], radius[row.cell] = row.n, row.radius
-    sent = written(asked.mapInPandas(_needed(centres, count, radius, k), "vec_id long, v array<long>, cell int"), "asked")
+    sent = written(asked.mapInPandas(_needed(centres, count, radius, k), _ASKED), "asked")
     many = {r.cell: -(-r["n"] // query_block) for r in sent.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     cell = F.col("cell") + 1  # arrays of at most ``pivots`` counts, looked up by cell
     salts = F.element_at(F.array(*[F.lit(int(-(-n // data_block)) or 1) for n in count]), cell)
     parts = F.element_at(F.array(*[F.lit(many.get(c, 0)) for c in range(len(count))]), cell)
-    blocks = celled.withColumn("salt", F.pmod(F.xxhash64("vec_id"), salts).cast("int")).filter(parts > 0)
+    blocks = celled.withColumn("salt", F.pmod(F.xxhash64("row"), salts).cast("int")).filter(parts > 0)
     blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select("vec_id", "v", "cell", "salt", "part")
-    asks = sent.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts).cast("int"))
-    asks = asks.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select("vec_id", "v", "cell", "salt", "part")
+    asks = sent.withColumn("part", F.pmod(F.xxhash64("query"), parts).cast("int"))
+    asks = asks.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).select("query", "vec_id", "v", "cell", "salt", "part")
     key = ("cell", "salt", "part")
     near = asks.groupBy(*key).cogroup(blocks.groupBy(*key)).applyInPandas(_best(k, width), _OUT)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

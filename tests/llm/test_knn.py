@@ -54,3 +54,18 @@ def test_embeddings_against_brute_force(spark):
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     got = sorted(map(tuple, knn.top_k(df, df.filter(F.col("vec_id") % 100 == 0)).collect()))
     assert got == brute(rows, lambda q: q % 100 == 0)
+
+
+def test_repeated_ids_as_queries_and_as_data(spark):
+    random.seed(3)
+    vector = lambda: [random.choice([-1.0, -0.5, 0.25, 0.75]) for _ in range(4)]
+    own = [9.0] * 4
+    data = [(i, vector()) for i in range(60)] + [(7, own)] * 25 + [(8, vector()) for _ in range(20)]
+    asked = [(7, own), (7, own), (7, [-1.0, 0.5, 0.5, 1.0]), (8, vector()), (100, own)]
+    frame = lambda rows: spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)
+    want = []
+    for q, x in {(q, tuple(v)) for q, v in asked}:
+        scores = sorted((-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(x, y)), i) for i, y in data if i != q)
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:10])]
+    got = knn.top_k(frame(data), frame(asked), data_block=16, query_block=2, pivots=6)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
