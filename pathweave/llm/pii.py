@@ -18,30 +18,41 @@ from pathweave.llm.scratch import dropped, written
 # Titles that tell a person's name and gender.
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Госпожа", "Κυρία")
 MALE_TITLES = ("Mr", "Mister", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
+NEUTRAL_TITLES = ("Dr", "Prof", "Professor", "Mx")
+_TITLES = "(?:" + "|".join(FEMALE_TITLES + MALE_TITLES + NEUTRAL_TITLES) + ")"
+# Words in lower case that stand before or within a surname.
+_PARTICLES = r"(?:(?:von|vom|van|de|der|den|del|della|di|da|dos|du|la|le|zu|zum|zur|und|bin|ibn|al|el|af|av|ten|ter) ){0,3}"
 
 _WORD_END = r"(?![\p{L}\p{N}])"
-_TOKEN = r"\p{Lu}\p{Ll}{1,30}(?:-\p{Lu}\p{Ll}{1,30})?"
+# A name: a capital, then letters, and apostrophes and hyphens between letters; the 's of a possessive is not part of it.
+_TOKEN = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?!s(?!\p{L}))(?=\p{L})|-(?=\p{L})){1,200}"
+_BARE = r"(?<![\p{L}\p{N}])" + _TOKEN + r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_GAP = r"[^\p{L}\p{N}\n]{1,8}"
+# What may stand between the digits of a phone number, and between those beyond the eighth, where a sentence may end.
+_GAP = r"[^\p{L}\p{N}\n+]{0,8}"
+_LATE_GAP = r"(?:(?![,;:!?|]|\.\s)[^\p{L}\p{N}\n+]){0,8}"
+_SHORT_GAP = r"[^\p{L}\p{N}\n]{1,8}"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+'-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,6}\p{L}{2,24}" + _WORD_END,
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+'-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,126}\p{L}{2,63}" + _WORD_END,
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _WORD_END,
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _WORD_END,
-    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,64}|gh[pousr]_[A-Za-z0-9]{30,64})" + _WORD_END,
-    "phone": r"(?<![\p{L}\p{N}])\+(?:\d{8,15}|\d{1,3}" + _GAP + r"\d{2,4}(?:" + _GAP + r"\d{2,4}){1,4})(?!\d)"
-             r"|(?<![\p{L}\p{N}])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d)",
+    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + _WORD_END,
+    "key": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,}+|gh[pousr]_[A-Za-z0-9]{30,}+)" + _WORD_END,
+    "phone": r"(?<![\p{L}\p{N}])\+\d(?:" + _GAP + r"\d){7}(?:" + _LATE_GAP + r"\d){0,7}(?!\d)"
+             r"|(?<![\p{L}\p{N}])\+\d{1,3}" + _SHORT_GAP + r"\d{2,4}(?:" + _SHORT_GAP + r"\d{2,4}){1,4}(?!\d)"
+             r"|(?<![\p{L}\p{N}])(?:\(\d{3}\)[ .-]?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d)"
+             r"|(?<![\p{L}\p{N}])(?:\(\d{3}\) ?|[2-9]\d{2} )[2-9]\d{2} \d{4}(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}.])(?:\d{4}[ -]?){3}\d{4}(?!\d)|(?<![\p{L}\p{N}.])\d{4}[ -]?\d{6}[ -]?\d{5}(?!\d)",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\d|\.\d)",
-    "name": r"(?<!\p{L})(?:" + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? " + _TOKEN + r"(?: " + _TOKEN + r"){0,2}(?!\p{L})",
+    "name": r"(?<!\p{L})(?:" + _TITLES + r"\.? ){1,3}(?:\p{Lu}\. ?){0,3}" + _PARTICLES + _TOKEN + r"(?: (?:\p{Lu}\. )?" + _PARTICLES + _TOKEN + r"){0,2}(?!\p{L})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What every match contains or begins with; quick to look for, and rare.
 _SIGNS = (
-    r"[@+0-9]|(?=[" + "".join(sorted({t[0] for t in FEMALE_TITLES + MALE_TITLES})) + r"Asg])(?:(?<!\p{L})(?:"
-    + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? |AKIA|sk-|gh[pousr]_)|[a-fA-F]{32}"
+    r"[@+0-9]|(?=[" + "".join(sorted({t[0] for t in FEMALE_TITLES + MALE_TITLES + NEUTRAL_TITLES})) + r"Asg])(?:(?<!\p{L})"
+    + _TITLES + r"\.? |AKIA|sk-|gh[pousr]_)|[a-fA-F]{32}"
 )
-_TITLE = r"^(?:" + "|".join(FEMALE_TITLES + MALE_TITLES) + r")\.? "
+_TITLE = r"^(?:" + _TITLES + r"\.? ){1,3}"
 
 # Syllables that names are made of, by script.
 _HEADS = {"latin": "Al Ber Cor Dan Ed Fer Gus Hen Iv Jor Kar Leo Mar Nor Os Pet Rob Ste Tom Vic", "cyrillic": "Ал Бор Вас Гри Дан Ев Жан Зах Ив Кар Лев Мар Ник Ол Пав Род Сер Тим Фед Яр", "greek": "Αλ Βασ Γιω Δη Ελ Θεο Ιω Κων Λε Μαρ Νικ Ορ Παν Σωτ Φιλ"}
@@ -183,7 +194,8 @@ def _parts(value: Column) -> Column:
     title = F.regexp_extract(value, _TITLE, 0)
     tokens = F.split(F.regexp_replace(value, _TITLE, ""), " ")
     given = F.when(F.regexp_extract(title, r"^\p{L}+", 0).isin(*FEMALE_TITLES), "given_f").otherwise("given_m")
-    names = F.transform(tokens, lambda t, i: part(F.when(i < F.size(tokens) - 1, given).otherwise("surname"), F.lower(t), t))
+    # a particle stays as it is: a part without a kind
+    names = F.transform(tokens, lambda t, i: part(F.when(t.rlike(r"^\p{Lu}"), F.when(i < F.size(tokens) - 1, given).otherwise("surname")), F.lower(t), t))
 
     def of(kind: Column) -> Column:
         canonical = F.when(kind.isin("email", "secret"), F.lower(value)).when(kind.isin("ip", "key"), value).otherwise(_alnum(value))
@@ -192,6 +204,23 @@ def _parts(value: Column) -> Column:
     return bind(_kind(value), of)
 
 
+def _untitled(between: Column, names: Column) -> Column:
+    """Parts of the text between matches, with the number of names in them: those in ``names`` (lower case, surrogate) are replaced."""
+    def part(text: Column) -> Column:
+        def known(word: Column) -> Column:
+            return F.get(F.filter(names, lambda n: n["name"] == F.lower(word)), F.lit(0))["out"]
+
+        def joined(found: Column) -> Column:
+            whole = F.zip_with(F.split(text, _BARE, -1), F.zip_with(found, F.regexp_extract_all(text, F.lit(_BARE), 0), lambda new, word: F.coalesce(new, word)),
+                               lambda gap, word: F.concat(gap, F.coalesce(word, F.lit(""))))
+            return F.struct(F.array_join(whole, "").alias("text"), F.size(F.filter(found, F.isnotnull)).alias("n"))
+
+        return F.when(F.size(names) > 0, bind(F.transform(F.regexp_extract_all(text, F.lit(_BARE), 0), known), joined)).otherwise(
+            F.struct(text.alias("text"), F.lit(0).alias("n")))
+
+    return F.transform(between, part)
+
+
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind, canonical, surrogate`` for distinct ``kind, canonical``: one to one, and never an original of the corpus."""
     todo, settled = entities.withColumn("draw", F.lit(0)), None
@@ -215,14 +244,14 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and with ``n_chars, n_replaced, kinds`` (sorted, distinct).
 
     A surrogate keeps kind, script, letter case, punctuation and length of its original (names: gender, from the title,
-    script and capital); cards keep a right checksum, addresses valid octets. Spellings of one number or address
+    script and capital; a name found by its title is replaced in the rest of its document too); cards keep a right checksum, addresses valid octets. Spellings of one number or address
     that differ in case or punctuation are one entity. The same key gives the same surrogates for the same corpus.
 
     Only texts with an entity are shuffled. A null text counts as empty and becomes empty; a null id is an id like any other;
     rows that repeat id and text become the same text. Extra columns pass through, those named like the ones set
     here are replaced. An empty table gives no rows.
     """
-    own = ("text", "n_chars", "n_replaced", "kinds", "_hash", "_hit")
+    own = ("text", "n_chars", "n_replaced", "kinds", "_hash", "_hit", "_between", "_new", "_names", "_id", "_of")
     kept = [c for c in docs.columns if c not in own]
     base = docs.select(*[named(c) for c in kept], F.coalesce("text", F.lit("")).alias("text"))
     marked = once(base, _hit=F.when(F.col("text").rlike(_SIGNS), F.col("text").rlike(PATTERN)).otherwise(False))
@@ -238,17 +267,20 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     whole = joined.withColumn("out", out).groupBy("doc_id", "_hash", "pos").agg(
         F.sort_array(F.collect_list(F.struct("part", "out"))).alias("outs"),
         F.max(F.when(is_name, "name").otherwise(F.col("kind"))).alias("kind"),
+        F.collect_set(F.when(is_name & ~F.col("canonical").endswith("."), F.struct(
+            F.col("canonical").alias("name"), (F.col("kind") != "surname").alias("given"), "out"))).alias("names"),
     ).withColumn("outs", F.transform("outs", lambda o: o["out"]))
     name = F.concat(F.get("outs", F.lit(0)), F.array_join(F.slice("outs", F.lit(2), F.greatest(F.size("outs") - 1, F.lit(0))), " "))
     by_doc = whole.withColumn("new", name).groupBy("doc_id", "_hash").agg(
         F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("_new"), F.sort_array(F.collect_set("kind")).alias("kinds"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("_names"),
     ).withColumnsRenamed({"doc_id": "_id", "_hash": "_of"})
     same = hits["doc_id"].eqNullSafe(by_doc["_id"]) & (hits["_hash"] == by_doc["_of"])
-    between = F.split("text", PATTERN, -1)
-    text = F.array_join(F.zip_with(between, F.col("_new"), lambda b, n: F.concat(b, F.coalesce(n["new"], F.lit("")))), "")
-    done = hits.join(by_doc.hint("shuffle_hash"), same, "left").select(
-        *[named(c) for c in kept], text.alias("text"), F.size("_new").cast("long").alias("n_replaced"), "kinds"
-    )
+    linked = hits.join(by_doc.hint("shuffle_hash"), same, "left")
+    linked = once(linked, _between=_untitled(F.split("text", PATTERN, -1), F.col("_names")))
+    text = F.array_join(F.zip_with("_between", "_new", lambda b, n: F.concat(b["text"], F.coalesce(n["new"], F.lit("")))), "")
+    more = F.aggregate("_between", F.lit(0), lambda total, b: total + b["n"])
+    done = linked.select(*[named(c) for c in kept], text.alias("text"), (F.size("_new") + more).cast("long").alias("n_replaced"), "kinds")
     clean = marked.filter(~F.col("_hit")).select(
         *[named(c) for c in kept], "text", F.lit(0).cast("long").alias("n_replaced"), F.array().cast("array<string>").alias("kinds")
     )

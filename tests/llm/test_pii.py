@@ -77,3 +77,24 @@ def test_clean_documents_stay_and_no_python_runs(spark):
     assert left and not any(r.x in originals for r in left)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_phones_of_any_grouping_long_secrets_and_names(spark):
+    phones = ["+49 30 1234567", "+49 171 1234567", "+44 20 79460958", "+33 1 23 45 67 89", "+1 212 5551234", "212 555 1234", "+49 30 12 34567", "+4915112345678"]
+    got = run(spark, [(i, f"call {p}, 5 people") for i, p in enumerate(phones)])
+    for i, p in enumerate(phones):
+        new = re.fullmatch(r"call (.*), 5 people", got[i].text)
+        assert got[i].kinds == ["phone"] and new and re.sub(r"\d", "0", new[1]) == re.sub(r"\d", "0", p) and new[1][-7:] != p[-7:]
+    names = [
+        (1, "Mr. McDonald met Mr. O'Brien's dog"), (2, "Frau von Berg, Dr. Smith"), (3, "Mr. John McDonald and Frau Dr. Lee-Smith"), (4, "Later John Smith saw Mr. Smith; Smith's"),
+        (5, "ab" * 200 + " sk-" + "a1" * 60), (6, "Prof. J. van der Berg, then Berg and Bergen"),
+    ]
+    got = {i: r for i, r in run(spark, names).items()}
+    assert not re.search("Donald|Brien", got[1].text) and got[1].text.endswith("'s dog") and got[1].n_replaced == 2
+    assert re.fullmatch(r"Frau von \S+, Dr\. \S+", got[2].text) and not re.search("Berg,|Smith", got[2].text)
+    assert re.fullmatch(r"Mr\. \S+ \S+ and Frau Dr\. \S+", got[3].text) and not re.search("John|Donald|Lee|Smith", got[3].text)
+    found = re.fullmatch(r"Later John (\S+) saw Mr\. (\S+); (\S+)'s", got[4].text)
+    assert found and found[1] == found[2] == found[3] != "Smith" and got[4].n_replaced == 3
+    assert "abab" not in got[5].text and "a1a1" not in got[5].text and got[5].kinds == ["key", "secret"]
+    found = re.fullmatch(r"Prof\. \S+ van der (\S+), then (\S+) and Bergen", got[6].text)
+    assert found and found[1] == found[2] != "Berg"
