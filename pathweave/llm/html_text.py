@@ -41,6 +41,10 @@ _MARKS = frozenset(
     "comment comments commentlist respond replies disqus share sharing social related recommended widget pagination pager skip search "
     "login signup signin contentinfo complementary dialog hidden".split()
 )
+# Words that may stand beside a mark in a hyphenated token without changing what it says.
+_BESIDE = frozenset("main site primary secondary top bottom left right global bar box buttons links".split())
+# Kinds of drop under which an explicit article still stands.
+_RESCUED = ("lent", "teaser")
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 _PIECE = re.compile(
@@ -52,6 +56,12 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 Block = tuple[str, str]  # "article", "out" or "plain", and the text
 
 
+def _is_mark(token: str) -> bool:
+    """Whether a token is a mark, or made of marks and words beside them; "article-header" and "no-sidebar" are not."""
+    parts = set(re.split(r"[^a-z0-9]+", token)) - {""}
+    return not parts.isdisjoint(_MARKS) and parts <= _MARKS | _BESIDE
+
+
 def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
     """Whether an element's attributes mark it as no article text, and whether they mark it as the article."""
     out = main = False
@@ -60,25 +70,30 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
         if name.lower() in ("hidden", "aria-hidden"):
             out |= name.lower() == "hidden" or value == "true"
         else:
-            words = set(re.split(r"[^a-z0-9]+", value))
+            words = set(value.split())
             main |= (name.lower() == "role" and "main" in words) or value in ("articlebody", "article", "article-body", "post-content", "entry-content")
-            out |= not words.isdisjoint(_MARKS) and tag not in ("html", "body", "article", "main")
+            out |= any(_is_mark(w) for w in words) and tag not in ("html", "body", "article", "main")
     return out and not main, main
 
 
 def blocks(page: str) -> list[Block]:
-    """Blocks of a page in order; tags that are never closed, and a page cut off anywhere, do no harm."""
+    """Blocks of a page in order; tags that are never closed, and a page cut off anywhere, do no harm.
+
+    An article inside a dropped element counts if the page has no other. A page without an article gives what no
+    element drops; what a form wraps if that has more words; and if nothing is left, what marked elements hold.
+    """
     out: list[Block] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, out, article, in an article's header
-    state = (False, False, False)
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, kind of what drops it, article, in an article's header
+    state = ("", False, False)
 
     def flush() -> None:
         words = " ".join("".join(text).split())
         text.clear()
         if words:
             drop, article, head = state
-            out.append(("out" if drop or head and stack[-1][0] not in _HEADINGS and not any(s[0] in _HEADINGS for s in stack) else "article" if article else "plain", words))
+            aside = head and stack[-1][0] not in _HEADINGS and not any(s[0] in _HEADINGS for s in stack)
+            out.append(("out" if aside or drop and article and drop not in _RESCUED else drop or ("article" if article else "plain"), words))
 
     at, raw = 0, ""
     while at < len(page):
@@ -113,18 +128,34 @@ def blocks(page: str) -> list[Block]:
                         break
                     if stack[i][0] in _BLOCK:
                         break
-            drop, article, head = stack[-1][1:] if stack else (False, False, False)
+            drop, article, head = stack[-1][1:] if stack else ("", False, False)
             marked, main = _marks(tag, piece[3])
             own_head = tag == "header" and article
-            drop = drop or tag in _OUT or marked and not own_head or tag == "header" and not article
-            stack.append((tag, drop, article or tag in ("article", "main") or main, head or own_head))
+            explicit = tag in ("article", "main") or main
+            if drop and explicit and not article:
+                drop = "lent" if drop in ("form", "marked") else "teaser"
+            elif tag != "form" and tag in _OUT or tag == "header" and not article or "hidden" in piece[3].lower() and marked:
+                drop = "out"
+            elif drop in ("", "form", *_RESCUED) and marked and not own_head:
+                drop = "out" if article else "marked"
+            elif tag == "form" and drop != "marked":
+                drop = "out" if article else drop or "form"
+            stack.append((tag, drop, article or explicit, head or own_head))
             if tag in _RAW:
                 raw = tag
-        state = stack[-1][1:] if stack else (False, False, False)
+        state = stack[-1][1:] if stack else ("", False, False)
     flush()
-    if any(kind == "article" for kind, _ in out) or not any(kind == "plain" for kind, _ in out):
-        return [(kind if kind == "article" else "out", words) for kind, words in out]
-    return out
+    return _decided(out)
+
+
+def _decided(out: list[Block]) -> list[Block]:
+    """Blocks as article, plain or out, once all of the page is known."""
+    sizes = {kind: sum(len(words.split(" ")) for k, words in out if k == kind) for kind in ("article", "lent", "plain", "form", "teaser", "marked")}
+    chosen = next((k for k in ("article", "lent") if sizes[k]), None)
+    if chosen is None:
+        chosen = "form" if sizes["form"] > sizes["plain"] else next((k for k in ("plain", "teaser", "marked") if sizes[k]), "")
+    as_kind = "article" if chosen in ("article", "lent", "teaser") else "plain"
+    return [(as_kind if kind == chosen else "out", words) for kind, words in out]
 
 
 def stream(found: list[Block]) -> list[str]:

@@ -66,3 +66,17 @@ def test_every_page_of_the_table(spark):
     df = table(spark, "pages")
     got = {r.page_id: r for r in html_text.extract(df).collect()}
     assert len(got) == df.count() and all(r.n_chars == len(r.text) > 0 for r in got.values())
+
+
+def test_articles_in_forms_and_marked_containers(spark):
+    body = "<p>One two</p><p>three four</p>"
+    rows = [
+        (1, f"<form><article>{body}<form>Send</form></article></form>"), (2, f"<form>{body}</form>"), (3, f"<form>{body}</form><p>(c)</p>"),
+        (4, f"<div class='layout-with-sidebar'>{body}</div>"), (5, f"<div class='no-sidebar has-header' id='search-results'>{body}</div>"),
+        (6, f"<div class='sidebar'><main>{body}<aside>x</aside><div class=ad>Buy</div></main></div>"), (7, f"<div id='search'>{body}</div>"),
+        (8, f"<article>{body}<section class=comments><article>Nice</article></section></article><aside class=related><article>More</article></aside>"),
+        (9, f"<nav><p>Home</p></nav><div class='site-footer'>x</div><div class='article-header'><h1>Head</h1></div>{body}"),
+    ]
+    got = extract(spark, [(i, f"http://h{i}/", page) for i, page in rows])
+    text = "One two\nthree four"
+    assert got == {i: "Head\n" + text if i == 9 else text for i, _ in rows}
