@@ -24,19 +24,20 @@ def tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def rows(frame) -> list[tuple]:
-    columns = sorted(frame.columns)
-    return sorted((tuple("" if v is None or v != v else str(v) for v in r) for r in frame[columns].itertuples(index=False)))
+def rows(table) -> list[tuple]:
+    """Rows of an Arrow table as texts, columns by name, sorted; integers stay whole beside nulls."""
+    columns = [table.column(c).to_pylist() for c in sorted(table.column_names)]
+    return sorted(tuple("" if v is None or v != v else str(v) for v in r) for r in zip(*columns, strict=True))
 
 
 def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
     if name not in entry.oracle_sql():  # no SQL says the same; the tests hold it against brute force
         entry.queries()[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return ""
-    got = entry.queries()[name](spark, sf_dir).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
-    if sorted(got.columns) != sorted(want.columns):
-        return f"columns {sorted(got.columns)} vs {sorted(want.columns)}"
+    got = entry.queries()[name](spark, sf_dir).toArrow()
+    want = con.execute(entry.oracle_sql()[name]).to_arrow_table()
+    if sorted(got.column_names) != sorted(want.column_names):
+        return f"columns {sorted(got.column_names)} vs {sorted(want.column_names)}"
     a, b = rows(got), rows(want)
     if a == b:
         return ""
