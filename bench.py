@@ -31,6 +31,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC").config("spark.sql.shuffle.partitions", cpus)
         # each test file is one row group, which one task reads: deal its rows over the cores first
         .config("pathweave.input.partitions", cpus)
+        # the call sites of thousands of small expressions are not recorded
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

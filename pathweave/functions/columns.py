@@ -21,8 +21,11 @@ def named(name: str) -> Column:
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
-    return F.transform(F.array(value), use).getItem(0)
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it.
+
+    A fold hands its state on as it is, while a transform copies whatever its lambda returns.
+    """
+    return F.aggregate(F.array(F.lit(0)), value, lambda state, _: state, use)
 
 
 def once(df: DataFrame, drop: Sequence[str] = (), **columns: Column) -> DataFrame:
@@ -85,3 +88,9 @@ def java_list(parts: Sequence[Column]) -> Column:
     """``[a, b]`` from the non-NULL parts; NULL when all are NULL."""
     joined = F.nullif(F.concat_ws(", ", *parts), F.lit(""))
     return F.concat(F.lit("["), joined, F.lit("]"))
+
+
+def leaves_at(flat: Column, paths: Sequence[str]) -> Column:
+    """Map from each of the ``paths`` that ``flat`` has to its leaf: one pass over the leaves, however many paths."""
+    wanted = F.filter(flat, lambda e: e.getField("path").isin(*paths))
+    return F.map_from_entries(F.transform(wanted, lambda e: F.struct(e.getField("path").alias("key"), e.alias("value"))))

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bind, once
+from ..functions.columns import bind, leaves_at, once
 
 # One field after a comma: quoted (doubled quotes inside, closing quote optional at the end of
 # the line), or anything up to the next comma.  \G makes matches adjoin, so text after a closing
 # quote ends the line.  Possessive groups keep long quoted texts off the stack.
+_FLAT = "array<struct<path:string,leaf_type:string,value:string>>"
 _FIELD = r'\G,(?:"[^"]*+(?:""[^"]*+)*+(?:"|\z)|(?:[^",][^,]*+)?)'
 
 
@@ -55,11 +56,10 @@ def encode_csv(df: DataFrame, columns: Sequence[str], column: str = "csv") -> Da
     """Add the CSV line of ``flat`` in the order of ``columns``; absent and NULL are empty."""
     wanted = list(columns)
 
-    def pick(name: str) -> Column:
-        value = F.get(F.filter("flat", lambda e: e.getField("path") == name), F.lit(0)).getField("value")
-        return csv_field(value)
+    def line(leaves: Column) -> Column:
+        return F.concat_ws(",", *[csv_field(F.try_element_at(leaves, F.lit(name)).getField("value")) for name in wanted])
 
-    return once(df, **{column: F.concat_ws(",", *[pick(c) for c in wanted])})
+    return once(df, **{column: bind(leaves_at(F.coalesce("flat", F.array().cast(_FLAT)), wanted), line)})
 
 
 def csv_field(value: Column) -> Column:

@@ -8,9 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import named, once, variant_at, with_error
+from ..functions.columns import bind, leaves_at, named, once, variant_at, with_error
 from ..functions.paths import fill_wildcards, pattern_regex, wildcards
 
+_FLAT = "array<struct<path:string,leaf_type:string,value:string>>"
 _REF = re.compile(r"\$\{([^}]*)\}")
 
 
@@ -22,18 +23,23 @@ def map_fields(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     value is carried to the ``*`` of the target.  A target whose sources are absent is left out;
     in a joined text a null source counts as absent.
     """
-    rules = [_rule(target, source) for target, source in mapping.items()]
-    mapped = F.concat(*rules) if rules else F.array().cast("array<struct<path:string,leaf_type:string,value:string>>")
-    return once(df, flat=F.when(F.col("error").isNull(), mapped))
+    exact = sorted({r for source in mapping.values() for r in _REF.findall(source) or [source] if not wildcards(r)})
 
+    def mapped(leaves: Column) -> Column:
+        rules = [_rule(target, source, leaves) for target, source in mapping.items()]
+        return F.concat(*rules) if rules else F.array().cast(_FLAT)
 
-def _rule(target: str, source: str) -> Column:
+    found = bind(leaves_at(F.col("flat"), exact), mapped) if exact else mapped(F.lit(None))
+    return once(df, flat=F.when(F.col("error").isNull(), found))
+
+
+def _rule(target: str, source: str, leaves: Column) -> Column:
     refs = _REF.findall(source)
     if not refs:
-        return _copy(target, source)
+        return _copy(target, source, leaves)
     if source == "${" + refs[0] + "}":
-        return _copy(target, refs[0])
-    return _join(target, source, refs)
+        return _copy(target, refs[0], leaves)
+    return _join(target, source, refs, leaves)
 
 
 def _same_wildcards(target: str, source: str) -> None:
@@ -42,23 +48,26 @@ def _same_wildcards(target: str, source: str) -> None:
 
 
 def _matching(source: str) -> Column:
-    if not wildcards(source):
-        return F.filter("flat", lambda e: e.getField("path") == source)
     return F.filter("flat", lambda e: e.getField("path").rlike(pattern_regex(source)))
 
 
-def _copy(target: str, source: str) -> Column:
+def _copy(target: str, source: str, leaves: Column) -> Column:
+    """``leaves`` has the leaves with the exact names of all rules."""
     _same_wildcards(target, source)
+    if not wildcards(source):
+        leaf = F.try_element_at(leaves, F.lit(source))
+        entry = F.struct(F.lit(target).alias("path"), leaf.getField("leaf_type").alias("leaf_type"), leaf.getField("value").alias("value"))
+        return F.when(leaf.isNotNull(), F.array(entry)).otherwise(F.array().cast(_FLAT))
     regex, replacement = pattern_regex(source), fill_wildcards(target)
 
     def rename(e: Column) -> Column:
-        path = F.regexp_replace(e.getField("path"), regex, replacement) if wildcards(source) else F.lit(target)
+        path = F.regexp_replace(e.getField("path"), regex, replacement)
         return F.struct(path.alias("path"), e.getField("leaf_type").alias("leaf_type"), e.getField("value").alias("value"))
 
     return F.transform(_matching(source), rename)
 
 
-def _join(target: str, template: str, refs: Sequence[str]) -> Column:
+def _join(target: str, template: str, refs: Sequence[str], leaves: Column) -> Column:
     pieces = _REF.split(template)  # text, ref, text, ref, …, text
     wild = list(dict.fromkeys(r for r in refs if wildcards(r)))
     for ref in wild:
@@ -70,7 +79,7 @@ def _join(target: str, template: str, refs: Sequence[str]) -> Column:
         parts = [values[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces)]
         return F.concat(*parts)  # NULL when any source is NULL
 
-    single = {r: F.get(_matching(r), F.lit(0)).getField("value") for r in refs if not wildcards(r)}
+    single = {r: F.try_element_at(leaves, F.lit(r)).getField("value") for r in refs if not wildcards(r)}
     if not wild:
         entry = F.struct(F.lit(target).alias("path"), F.lit("STRING").alias("leaf_type"), text(single).alias("value"))
         return F.filter(F.array(entry), lambda e: e.getField("value").isNotNull())

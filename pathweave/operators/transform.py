@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -17,13 +19,15 @@ def transform_fields(
     fn: Callable[[Column], Column] = F.upper,
     udf: Callable[[Column], Column] | None = None,
     count: str | None = None,
+    batch: Callable[[pa.Array], pa.Array] | None = None,
 ) -> DataFrame:
     """Apply ``fn`` to every string leaf whose path matches a pattern; others stay as they are.
 
     ``fn`` maps a Column to a Column and runs in the JVM.  ``udf`` is for code that cannot be
     written as a Column: an Arrow or pandas UDF from ``ARRAY<STRING>`` to ``ARRAY<STRING>`` of
-    equal length that receives the matching values of a row.  ``count`` names a column for the
-    number of leaves processed.  An exception in ``fn`` or ``udf`` fails the job.
+    equal length that receives the matching values of a row.  ``batch`` maps an Arrow string array to one of
+    equal length: one call sees the matching values of a whole Arrow batch, without a Python loop over rows.  ``count`` names a column for the
+    number of leaves processed.  An exception in ``fn``, ``udf`` or ``batch`` fails the job.
     """
 
     def hit(e: Column) -> Column:
@@ -31,6 +35,8 @@ def transform_fields(
 
     if count is not None:
         df = df.withColumn(count, F.coalesce(F.size(F.filter("flat", hit)), F.lit(0)))
+    if batch is not None:
+        udf = over_values(batch)
     if udf is None:
         changed = F.transform(
             "flat", lambda e: F.when(hit(e), e.withField("value", fn(e.getField("value")))).otherwise(e)
@@ -39,6 +45,21 @@ def transform_fields(
     return _through_udf(df, hit, udf)
 
 
+def over_values(fn: Callable[[pa.Array], pa.Array]) -> Callable[[Column], Column]:
+    """An Arrow UDF that hands all values of a batch of lists to ``fn`` at once; the lists keep their lengths."""
+
+    @F.arrow_udf("array<string>")
+    def call(lists: pa.Array) -> pa.Array:
+        values = fn(lists.flatten())
+        ends = pc.cumulative_sum(pc.cast(pc.list_value_length(lists), pa.int32()))
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+        if len(values) != offsets[-1].as_py():
+            raise ValueError(f"{offsets[-1].as_py()} values became {len(values)}")
+        return pa.ListArray.from_arrays(offsets, pc.cast(values, pa.string()))
+
+    return call
+
+
 def _through_udf(df: DataFrame, hit: Callable[[Column], Column], udf: Callable[[Column], Column]) -> DataFrame:
     # Python cannot run inside a lambda: hand over the matching values of a row as one array
     # and put the results back by their position.

@@ -13,12 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bind, json_string, once, with_error
+from ..functions.columns import ERROR_TYPE, bind, json_string, once
+from .paginate import LONGEST, NULL_BYTES
 
-# What the nulls of one document may come to: no string holds more bytes, so a path such as
-# ``a.2000000000`` cannot be written.
-_LONGEST = 2**31 - 1
-_NULL_BYTES = len("null,")
 # Stands for every position that no string could reach.
 _BEYOND = 2**40
 
@@ -40,15 +37,32 @@ def unflatten(df: DataFrame, column: str = "json") -> DataFrame:
     needs as a container cannot be resolved; such rows get the error ``CONFLICT``.  Rows whose
     array gaps would take more bytes than a string can have get ``GAP``.
     """
-    flat = F.coalesce(F.col("flat"), F.array().cast("array<struct<path:string,leaf_type:string,value:string>>"))
-    agreed = bind(bind(F.sort_array(F.transform(flat, _tokenised)), _planned), _agreed)
-    df = once(df, _plan=F.when(F.col("error").isNull(), agreed))
-    df = with_error(df, "CONFLICT", F.when(F.col("_plan").isNull(), F.lit("Paths cannot be combined into one document")))
-    padding = F.aggregate("_plan.steps", F.lit(0).cast("bigint"), lambda total, s: total + s.getField("gap"))
-    df = with_error(df, "GAP", F.when(padding * _NULL_BYTES > _LONGEST, F.lit("Array gaps are longer than a document can be")))
+    df = once(df, _plan=F.when(F.col("error").isNull(), document_plan(F.col("flat"))))
+    error = F.when(F.col("error").isNull(), plan_error(F.col("_plan")))
+    df = df.withColumn("error", F.coalesce(F.col("error"), error))
     return once(df, drop=("_plan",), **{column: F.when(F.col("error").isNull(), _written(F.col("_plan")))})
 
 
+def document_plan(flat: Column) -> Column:
+    """What :func:`unflatten` writes of these leaves, step by step; NULL if their paths cannot be combined."""
+    leaves = F.coalesce(flat, F.array().cast("array<struct<path:string,leaf_type:string,value:string>>"))
+    return bind(bind(F.sort_array(F.transform(leaves, _tokenised)), _planned), _agreed)
+
+
+def plan_error(plan: Column) -> Column:
+    """The error of a row with this plan, or NULL."""
+    padding = F.aggregate(plan.getField("steps"), F.lit(0).cast("bigint"), lambda total, s: total + s.getField("gap"))
+
+    def of(code: str, message: str) -> Column:
+        return F.struct(F.lit(code).alias("code"), F.lit(message).alias("message"))
+
+    return (
+        F.when(plan.isNull(), of("CONFLICT", "Paths cannot be combined into one document"))
+        .when(padding * NULL_BYTES > LONGEST, of("GAP", "Array gaps are longer than a document can be"))
+        .otherwise(F.lit(None).cast(ERROR_TYPE))
+    )
+
+
 def path_tokens(path: Column) -> Column:
     """``ARRAY<STRUCT<i BIGINT, k STRING>>`` of a dotted path."""
     # the mark is doubled inside keys, so a single one only ever starts a position
@@ -57,7 +71,7 @@ def path_tokens(path: Column) -> Column:
 
     def token(segment: Column) -> Column:
         is_position = F.startswith(segment, F.lit(_MARK)) & ~F.startswith(segment, F.lit(_MARK * 2))
-        position = F.coalesce(F.substring(segment, 2, _LONGEST).try_cast("bigint"), F.lit(_BEYOND))
+        position = F.coalesce(F.substring(segment, 2, LONGEST).try_cast("bigint"), F.lit(_BEYOND))
         key = F.replace(segment, F.lit(_MARK * 2), F.lit(_MARK))
         return F.struct(
             F.when(is_position, F.least(position, F.lit(_BEYOND))).alias("i"), F.when(~is_position, key).alias("k")
@@ -212,19 +226,11 @@ def _survivors(entries: Column) -> Column:
 
     def cut(ranked: Column) -> Column:
         visits = F.sort_array(F.flatten(F.transform(ranked, visits_of)))
-        return bind(bind(visits, _replacements), lambda r: keep(ranked, r))
-
-    def keep(ranked: Column, replaced: Column) -> Column:
-        def alive(e: Column, rank: Column) -> Column:
-            def over(r: Column) -> Column:
-                node = r.getField("node")
-                under = F.slice(e.getField("tok"), F.lit(1), F.size(node)) == node
-                return (r.getField("rank") >= rank) & under
-
-            return ~F.exists(replaced, over)
+        return bind(bind(visits, _fallen), lambda fallen: keep(ranked, fallen))
 
+    def keep(ranked: Column, fallen: Column) -> Column:
         left = F.transform(
-            F.filter(ranked, alive),
+            _without(ranked, fallen.getField("ranks")),
             lambda e: F.struct(
                 e.getField("tok").alias("tok"),
                 e.getField("order").alias("order"),
@@ -233,26 +239,71 @@ def _survivors(entries: Column) -> Column:
                 e.getField("value").alias("value"),
             ),
         )
-        return F.when(~F.exists(replaced, lambda r: r.getField("impossible")), left)
+        return F.when(~fallen.getField("impossible"), left)
 
     return bind(by_path, cut)
 
 
-def _replacements(visits: Column) -> Column:
-    """Per node the last rank that a later visit replaced."""
+def _without(ranked: Column, ranks: Column) -> Column:
+    """Entries whose position is not among ``ranks``: after one sort each fallen rank stands right before its entry."""
+    marks = F.transform(ranks, lambda r: F.struct(r.alias("rank"), F.lit(0).alias("is_entry")))
+    entries = F.transform(ranked, lambda e, rank: F.struct(rank.alias("rank"), F.lit(1).alias("is_entry")))
+
+    def alive(merged: Column) -> Column:
+        kept = F.filter(
+            merged, lambda m, i: (m.getField("is_entry") == 1) & ~F.get(merged, i - 1).getField("rank").eqNullSafe(m.getField("rank"))
+        )
+        return F.transform(kept, lambda m: F.get(ranked, m.getField("rank")))
+
+    return bind(F.sort_array(F.concat(marks, entries)), alive)
+
+
+def _fallen(visits: Column) -> Column:
+    """Ranks of the entries that a later visit of one of their nodes replaces, and whether that is ``impossible`` somewhere.
 
-    def replaced(v: Column, i: Column) -> Column:
-        after = F.get(visits, i + 1)
-        same = after.getField("node").eqNullSafe(v.getField("node"))
-        leaf = v.getField("kind") == "leaf"
-        return same & (leaf | (after.getField("kind") != v.getField("kind")))
+    The visits of a node stand side by side, and all up to its last replaced one fall.
+    """
+
+    def same_node(v: Column, other: Column) -> Column:
+        return other.getField("node").eqNullSafe(v.getField("node"))
 
-    def with_impossible(v: Column, i: Column) -> Column:
+    def is_hit(v: Column, after: Column) -> Column:
+        is_leaf = v.getField("kind") == "leaf"
+        return same_node(v, after) & (is_leaf | (after.getField("kind") != v.getField("kind")))
+
+    def stuck(v: Column, after: Column) -> Column:
         # a value at an array position does not give way to a container
-        stuck = v.getField("fixed") & (v.getField("kind") == "leaf") & (F.get(visits, i + 1).getField("kind") != "leaf")
-        return F.when(
-            replaced(v, i),
-            F.struct(v.getField("node").alias("node"), v.getField("rank").alias("rank"), stuck.alias("impossible")),
-        )
+        return v.getField("fixed") & (v.getField("kind") == "leaf") & (after.getField("kind") != "leaf")
+
+    def where(test) -> Column:
+        return F.filter(F.transform(visits, lambda v, i: F.when(test(v, i), i)), lambda i: i.isNotNull())
+
+    hits = where(lambda v, i: is_hit(v, F.get(visits, i + 1)))
+    starts = where(lambda v, i: ~same_node(v, F.get(visits, i - 1)))
+
+    def of(hits: Column) -> Column:
+        last = F.filter(hits, lambda h, k: ~same_node(F.get(visits, h), F.get(visits, F.get(hits, k + 1))))
+        impossible = F.exists(hits, lambda h: stuck(F.get(visits, h), F.get(visits, h + 1)))
+        return F.struct(bind(_spans(starts, last), ranks).alias("ranks"), impossible.alias("impossible"))
+
+    def ranks(spans: Column) -> Column:
+        def of_span(span: Column) -> Column:
+            return F.transform(F.sequence(span.getField("start"), span.getField("end")), lambda i: F.get(visits, i).getField("rank"))
+
+        return F.array_distinct(F.flatten(F.transform(spans, of_span)))
+
+    return bind(hits, of)
+
+
+def _spans(starts: Column, ends: Column) -> Column:
+    """``start, end`` for each end: after one sort its start stands right before it."""
+    marks = F.concat(
+        F.transform(starts, lambda i: F.struct(i.alias("i"), F.lit(0).alias("is_end"))),
+        F.transform(ends, lambda i: F.struct(i.alias("i"), F.lit(1).alias("is_end"))),
+    )
+
+    def paired(marks: Column) -> Column:
+        pairs = F.transform(marks, lambda m, k: F.struct(F.get(marks, k - 1).getField("i").alias("start"), m.getField("i").alias("end"), m.getField("is_end").alias("is_end")))
+        return F.filter(pairs, lambda p: p.getField("is_end") == 1)
 
-    return F.filter(F.transform(visits, with_impossible), lambda r: r.isNotNull())
+    return bind(F.sort_array(marks), paired)

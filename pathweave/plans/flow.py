@@ -8,12 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import once
 from ..operators.dead_letters import accepted, dead_letters
-from ..operators.flatten import INCLUDE, flatten_json, flatten_pages
-from ..operators.paginate import PageNames, paginate, split_to_json, without_originals
+from ..operators.flatten import INCLUDE, flatten_json, flatten_pages, item_leaves, with_counters
+from ..operators.paginate import PageCheck, PageNames, paginate, split_to_json, without_originals
 from ..operators.parse import parse_messages
 from ..operators.transform import transform_fields
-from ..operators.unflatten import unflatten
+from ..operators.unflatten import document_plan, plan_error, unflatten
 from ..operators.validate import validate_messages, validate_required
 from . import rules
 
@@ -52,12 +53,32 @@ def validate_split_flatten(df: DataFrame, cfg: FlowConfig) -> DataFrame:
     df = validate_required(parse_messages(df), cfg.required)
     if cfg.array is None:
         return flatten_json(df, cfg.nulls)
-    pages = paginate(df, cfg.array, cfg.page_size, cfg.item_required, cfg.on_non_array)
-    return flatten_pages(pages, cfg.names or PageNames(cfg.array), cfg.nulls)
+    names = cfg.names or PageNames(cfg.array)
+    pages = paginate(df, cfg.array, cfg.page_size, cfg.item_required, cfg.on_non_array, check=page_check(names, cfg.nulls))
+    return flatten_pages(pages, names, cfg.nulls)
+
+
+def page_check(names: PageNames, nulls: str = INCLUDE) -> PageCheck:
+    """The errors that pages meet when they are flattened and put together again, for ``paginate(check=…)``.
+
+    Changing values, as :func:`transform_fields` does, makes no difference to them; changing paths does.
+    """
+
+    def leaves(page: Column) -> Column:
+        p, total, items, texts = (page.getField(f) for f in ("p", "total", "items", "texts"))
+        return with_counters(p, total, F.size(items), item_leaves(items, texts, names, nulls), names)
+
+    def check(df: DataFrame) -> DataFrame:
+        # one step a column: a plan with fewer lambdas inside each other is analysed sooner
+        df = once(df, drop=("_pages",), _flats=F.transform("_pages", leaves))
+        df = once(df, drop=("_flats",), _plans=F.transform("_flats", lambda flat: F.when(flat.isNotNull(), document_plan(flat))))
+        return once(df, drop=("_plans",), _errors=F.transform("_plans", plan_error))
+
+    return check
 
 
 def outcomes(df: DataFrame, cfg: FlowConfig) -> DataFrame:
-    """All results of a job in one DataFrame: ``json`` or ``error`` on every row.
+    """All results of a job in one DataFrame: ``json``, or ``error`` and the message in ``value``, on every row.
 
     Writing it partitioned by outcome, or to Kafka with a topic per row, takes one pass over
     the source for results and dead letters together.
@@ -65,8 +86,7 @@ def outcomes(df: DataFrame, cfg: FlowConfig) -> DataFrame:
     df = validate_split_flatten(df, cfg)
     if cfg.patterns:
         df = transform_fields(df, cfg.patterns, cfg.fn)
-    done = unflatten(df).drop("flat")
-    return done if cfg.array is None else without_originals(done)
+    return without_originals(unflatten(df).drop("flat"))
 
 
 def run_flow(df: DataFrame, cfg: FlowConfig) -> tuple[DataFrame, DataFrame]:

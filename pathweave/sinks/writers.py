@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from ..operators.dead_letters import dead_letter_json
 
 
-def kafka_rows(done: DataFrame, output_topic: str, dlq_topic: str, column: str = "json") -> DataFrame:
+#: Headers that carry the coordinates of a result's message, and its page.
+COORDINATES = {"source-topic": "topic", "source-partition": "partition", "source-offset": "offset", "source-page": "page_index"}
+
+
+def kafka_rows(done: DataFrame, output_topic: str, dlq_topic: str, column: str = "json", coordinates: bool = False) -> DataFrame:
     """``key, value, headers, topic`` for the Kafka sink; results and dead letters in one stream.
 
     Results keep key and headers of their message.  The sink is at-least-once and takes no
-    timestamp; de-duplicate on ``(topic, partition, offset, page_index)`` of the source.
+    timestamp.  With ``coordinates`` results also carry those of their message as headers (:data:`COORDINATES`), by which a
+    consumer can drop repeats: see :func:`pathweave.streaming.repeats.once_each`.
     """
     ok = F.col("error").isNull()
     letter = dead_letter_json(
@@ -24,6 +29,12 @@ def kafka_rows(done: DataFrame, output_topic: str, dlq_topic: str, column: str =
     headers = F.transform(
         F.map_entries("headers"), lambda h: F.struct(h.getField("key").alias("key"), h.getField("value").alias("value"))
     )
+    if coordinates:
+        own = [
+            F.struct(F.lit(name).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+            for name, c in COORDINATES.items() if c in done.columns
+        ]
+        headers = F.concat(F.coalesce(headers, F.array().cast("array<struct<key:string,value:binary>>")), F.array(*own))
     return done.select(
         F.when(ok, F.col("key")).alias("key"),
         F.when(ok, F.col(column).cast("binary")).otherwise(letter.cast("binary")).alias("value"),

@@ -16,6 +16,8 @@ KAFKA_DEFAULTS = {
     "kafka.isolation.level": "read_committed",
 }
 
+_FILE_FORMATS = ("parquet", "text", "json", "csv", "orc")
+
 _DEFAULTS = {
     "key": "binary",
     "value": "binary",
@@ -33,14 +35,28 @@ def read_messages(
     """Envelopes from a source.  Progress of a stream lives in the checkpoint of its query.
 
     ``format='kafka'`` needs the connector on the class path.  File formats take ``path``;
-    ``text`` gives one message per line, or per file with ``wholetext=true``.
+    ``text`` gives one message per line, or per file with ``wholetext=true``.  Files without coordinates of their own
+    get those of :func:`file_coordinates`, so that a dead letter names its file.
     """
     reader = spark.readStream if stream else spark.read
     defaults = KAFKA_DEFAULTS if format == "kafka" else {}
     reader = reader.format(format).options(**{**defaults, **options})
     if schema is not None:
         reader = reader.schema(schema)
-    return to_envelope(reader.load())
+    loaded = reader.load()
+    return to_envelope(file_coordinates(loaded, format) if format in _FILE_FORMATS else loaded)
+
+
+def file_coordinates(df: DataFrame, format: str) -> DataFrame:
+    """``topic`` (the file), ``partition`` (-1) and ``offset`` of rows read from files, where the rows have no such columns.
+
+    The offset is the position of the row in its file where the format knows it (parquet), else the byte at which the
+    part of the file begins that holds the row.
+    """
+    position = "_metadata.row_index" if format == "parquet" else "_metadata.file_block_start"
+    place = {"topic": F.col("_metadata.file_path"), "partition": F.lit(-1), "offset": F.col(position)}
+    missing = [c.cast(_DEFAULTS[name]).alias(name) for name, c in place.items() if name not in df.columns]
+    return df.select("*", *missing)
 
 
 def to_envelope(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield prepare(session)

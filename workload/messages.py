@@ -126,9 +126,28 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(table(spark, sf_dir, "events"), "event_id", body)
 
 
+def shared_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which every fifth has two fields for one path, in the one order or the other; the last key comes twice."""
+    plain = F.concat(F.lit('"user.id":'), F.col("user_id").cast("string"))
+    nested = F.concat(F.lit('"user":{"z":[{"y.x":1},2],"id":"'), F.col("event_type"), F.lit('"}'))
+    even = F.col("event_id") % 2 == 0
+    both = F.concat_ws(",", F.when(even, plain).otherwise(nested), F.when(even, nested).otherwise(plain))
+    fields = F.when(F.col("event_id") % 5 == 0, both).otherwise(plain)
+    body = F.concat(F.lit('{"id":0,'), fields, F.lit(',"id":'), F.col("event_id").cast("string"), F.lit("}"))
+    return _messages(table(spark, sf_dir, "events"), "event_id", body)
+
+
 def odd_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents; in the first line of every fifth two fields have the same dotted path.  ``body`` is the message again."""
-    twice = F.regexp_replace(document_body(), r'"lines":\[\{"n":0,', '"lines":[{"n":0,"a.b":1,"a":{"b":2},')
-    body = F.when(F.col("doc_id") % 5 == 0, twice).otherwise(document_body())
+    """Documents; in the first line of every fifth two fields have the same dotted path, in that of every seventh a key is a
+    number that no array can have as position.  ``body`` is the message again."""
+
+    def with_field(text: str) -> Column:
+        return F.regexp_replace(document_body(), r'"lines":\[\{"n":0,', '"lines":[{"n":0,' + text)
+
+    body = (
+        F.when(F.col("doc_id") % 7 == 3, with_field('"ids":{"2000000000":1},'))
+        .when(F.col("doc_id") % 5 == 0, with_field('"a.b":1,"a":{"b":2},'))
+        .otherwise(document_body())
+    )
     df = table(spark, sf_dir, "documents").select("doc_id", body.alias("body"))
     return to_envelope(df.withColumn("value", F.col("body").cast("binary")))

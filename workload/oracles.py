@@ -144,8 +144,19 @@ UNION ALL SELECT event_id, 'wide', 'DECIMAL(28,0)', '1234567890123456789' || lpa
 UNION ALL SELECT event_id, 'part', 'DOUBLE', '0.5' FROM events
 UNION ALL SELECT event_id, 'none', 'VOID', NULL FROM events""",
     "page_letters": LINES
-    + """SELECT doc_id, CASE WHEN bad IS NOT NULL THEN 'ITEM_REQUIRED' ELSE 'CONFLICT' END AS error_code, TRUE AS whole
-FROM pg WHERE bad IS NOT NULL OR doc_id % 5 = 0 AND p = 0""",
+    + """SELECT doc_id, CASE WHEN bad IS NOT NULL THEN 'ITEM_REQUIRED' ELSE 'GAP' END AS error_code, TRUE AS whole
+FROM pg WHERE bad IS NOT NULL OR doc_id % 7 = 3 AND p = 0""",
+    "later_fields": """WITH e AS (SELECT *, event_id % 5 = 0 AS both_, event_id % 2 = 0 AS even FROM events)
+SELECT event_id, 'id' AS path, 'BIGINT' AS leaf_type, CAST(event_id AS VARCHAR) AS value FROM e
+UNION ALL SELECT event_id, 'user.id', CASE WHEN both_ AND even THEN 'STRING' ELSE 'BIGINT' END,
+  CASE WHEN both_ AND even THEN event_type ELSE CAST(user_id AS VARCHAR) END FROM e
+UNION ALL SELECT event_id, 'user.z.0.y.x', 'BIGINT', '1' FROM e WHERE both_
+UNION ALL SELECT event_id, 'user.z.1', 'BIGINT', '2' FROM e WHERE both_""",
+    "odd_page_leaves": LINES
+    + f"""SELECT * FROM ({_counters("WHERE bad IS NULL")}
+UNION ALL {_items("lines", where="(doc_id, p) IN (SELECT (doc_id, p) FROM pg WHERE bad IS NULL)")}
+UNION ALL SELECT doc_id, p, 'lines.0.a.b', 'BIGINT', '2' FROM pg WHERE bad IS NULL AND p = 0 AND doc_id % 5 = 0)
+WHERE NOT (doc_id % 7 = 3 AND page_index = 0)""",
     "entry_rejects": """SELECT event_id, event_id AS no, i AS entry_index, CAST(CASE WHEN i = 0 THEN 1 ELSE -1 END AS BIGINT) AS k, CASE WHEN i = 1 THEN 'TYPE' END AS error_code
 FROM events, (VALUES (CAST(0 AS INTEGER)), (CAST(1 AS INTEGER))) AS e(i) WHERE event_id % 8 = 0
 UNION ALL SELECT event_id, event_id, -1, -1, 'NOT_ARRAY' FROM events WHERE event_id % 8 NOT IN (0, 6)""",

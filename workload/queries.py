@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +123,15 @@ def page_letters(spark: S, d: str) -> D:
     return done.select("doc_id", code(), (F.col("value") == F.col("body").cast("binary")).alias("whole"))
 
 
+def later_fields(spark: S, d: str) -> D:
+    """Where two fields have one path, the later one in the message."""
+    return explode_leaves(flatten_json(parse_messages(m.shared_events(spark, d))), ["event_id"])
+
+
+def odd_page_leaves(spark: S, d: str) -> D:
+    return explode_leaves(validate_split_flatten(m.odd_documents(spark, d), FLOW), ["doc_id", "page_index"])
+
+
 def entry_rejects(spark: S, d: str) -> D:
     rows = project_entries(parse_messages(m.shaped_events(spark, d)), "props", header={"no": ("id", "bigint")}, entry={"k": ("k", "bigint")})
     entry = (F.coalesce(c, F.lit(-1)).alias(c) for c in ("entry_index", "k"))
@@ -177,12 +187,11 @@ def exact_upper(spark: S, d: str) -> D:
 
 
 def udf_reverse(spark: S, d: str) -> D:
-    @F.pandas_udf("array<string>")
-    def backwards(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda row: [text[::-1] for text in row])
+    def backwards(values: pa.Array) -> pa.Array:
+        return pc.utf8_reverse(pc.binary_join_element_wise(values, "!", ""))
 
     flat = flatten_json(parse_messages(m.lines(spark, d)))
-    changed = transform_fields(flat, ["line.flags.*"], udf=lambda values: backwards(F.transform(values, lambda v: F.concat(v, F.lit("!")))))
+    changed = transform_fields(flat, ["line.flags.*"], batch=backwards)
     return explode_leaves(changed, ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
@@ -315,7 +324,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         envelope_headers, parse_guard, parse_lenient, required_paths, required_by_schema, items_by_page,
-        whole_messages, page_slices, array_policy, message_account, deep_leaves, typed_leaves, page_letters,
+        whole_messages, page_slices, array_policy, message_account, deep_leaves, typed_leaves, page_letters, later_fields, odd_page_leaves,
         entry_rejects, page_json, event_leaves, line_leaves, page_leaves,
         nulls_included, nulls_excluded, nulls_as_text, wildcard_upper, exact_upper, udf_reverse, leaf_counters,
         mapped_fields, entry_rows, rebuilt_events, rebuilt_lines, path_conflicts, round_trip, csv_encoded,
