@@ -27,13 +27,17 @@ CAPACITY = 4096
 #: Length classes; a piece counts as the next multiple of CAPACITY / CLASSES tokens.
 CLASSES = 256
 END = 2
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 700_000
+#: Words that are encoded as one text.
+_TOGETHER = 2_000
+#: How the vocabulary marks a piece that ends a word.
+_WORD_END = "</w>"
 _BUCKET_ROWS = 2_000
 _state: dict = {}
 
 
 def _state_of(path: str) -> dict:
-    """Tokenizer, ids by word and ids by stem, kept while the Python worker lives; a full cache is emptied.
+    """Tokenizer, ids by word and ids by stem, kept while the Python worker lives; a full cache keeps what the texts at hand use.
 
     The tokenizer's pattern never matches across white space and its normalizers never act across it, so the ids of a
     text are those of its words in a row.
@@ -44,7 +48,10 @@ def _state_of(path: str) -> dict:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
-        _state.update(path=path, tokenizer=tokenizer, words={}, stems={})
+        vocabulary = tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends[[i for piece, i in vocabulary.items() if piece.endswith(_WORD_END)]] = True
+        _state.update(path=path, tokenizer=tokenizer, words={}, stems={}, ends=ends)
     return _state
 
 
@@ -59,20 +66,37 @@ def _stem(word: str) -> tuple[str, str]:
     return stem.lower(), word[len(stem):]
 
 
+def _encoded(words: list[str], state: dict) -> list[bytes]:
+    """Ids of each word. Words of letters are encoded as one text, whose ids part after each that ends a word."""
+    plain = [w for w in words if w.isalpha()]
+    ids = np.array(state["tokenizer"].encode(" ".join(plain), add_special_tokens=False).ids, dtype="<u4")
+    ends = (4 * np.flatnonzero(state["ends"][ids]) + 4).tolist()
+    if len(ends) != len(plain):  # some word isn't one for the tokenizer
+        plain, ends = [], []
+    packed = ids.tobytes()
+    known = dict(zip(plain, [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else [], strict=True))
+    others = [w for w in words if w not in known]
+    single = state["tokenizer"].encode_batch_fast(others, add_special_tokens=False)
+    known.update((w, array("I", got.ids).tobytes()) for w, got in zip(others, single, strict=True))
+    return [known[w] for w in words]
+
+
 def encode(texts_: list[str], path: str) -> Iterator[bytes]:
     """Little-endian unsigned 32-bit ids of each text, with the closing id."""
     state = _state_of(path)
-    words, stems = state["words"], state["stems"]
-    for cache in (words, stems):
-        if len(cache) > _CACHED_WORDS:
-            cache.clear()
     split = [t.replace("\n", " ").split(" ") for t in texts_]
-    new = [(w, *_stem(w)) for w in set().union(*split) if w not in words]
+    seen = set().union(*split)
+    if len(state["words"]) > _CACHED_WORDS:
+        state["words"] = {w: state["words"][w] for w in seen if w in state["words"]}
+    if len(state["stems"]) > _CACHED_WORDS:
+        used = {x for w in seen for x in _stem(w)}
+        state["stems"] = {x: state["stems"][x] for x in used if x in state["stems"]}
+    words, stems = state["words"], state["stems"]
+    new = [(w, *_stem(w)) for w in seen if w not in words]
     unseen = list({x for _, stem, rest in new for x in (stem, rest) if x not in stems})
-    for at in range(0, len(unseen), 20_000):
-        part = unseen[at:at + 20_000]
-        for stem, got in zip(part, state["tokenizer"].encode_batch_fast(part, add_special_tokens=False), strict=True):
-            stems[stem] = array("I", got.ids).tobytes()
+    for at in range(0, len(unseen), _TOGETHER):
+        part = unseen[at:at + _TOGETHER]
+        stems.update(zip(part, _encoded(part, state), strict=True))
     for word, stem, rest in new:
         words[word] = stems[stem] + stems[rest]
     end = array("I", [END]).tobytes()
