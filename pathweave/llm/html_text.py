@@ -1,7 +1,7 @@
 """Main text of web pages: the article by structure, and what a host repeats by a suffix array of its pages.
 
 Pages become blocks of text. Blocks of an explicit article are its text. Of the other blocks, those of menus,
-notices and the like go by their markup; from the rest goes every run of words that other pages of the host have too. To find these
+notices and the like go by their markup; from the rest goes every run of words that a share of the host's pages have. To find these
 runs the token streams of a host's pages are laid end to end and their suffixes sorted; suffixes that agree in
 ``RUN`` tokens are neighbours. Hosts of many pages are dealt over several arrays, whose classes meet by key.
 """
@@ -22,6 +22,10 @@ from pathweave.llm.scratch import written
 
 #: Tokens that a repeated run has at least.
 RUN = 8
+#: A run is boilerplate on so many pages of different content, and on this share of the host's pages: a text that a host serves at
+#: two addresses is none.
+LEAST_PAGES = 3
+SHARE = 0.25
 #: Pages in one suffix array, about.
 PAGES = 2000
 
@@ -186,11 +190,12 @@ def suffix_classes(streams: list[list[str]], run: int = RUN) -> tuple[np.ndarray
 
 
 def _classes(run: int):
-    """For the pages of one array: ``host, key, page, starts``, a row for each class and page."""
+    """For the pages of one array: ``host, key, page, content, starts``, a row for each class and page."""
 
     def of(table: pa.Table) -> pa.Table:
         hosts, pages = table.column("host").to_pylist(), table.column("page").to_pylist()
         streams = [x or [] for x in table.column("tokens").to_pylist()]
+        contents = [xxhash.xxh3_64_intdigest("\x1f".join(x).encode("utf-8", "surrogatepass")) - 2**63 for x in streams]
         order, classes = suffix_classes(streams, run)
         bounds = np.cumsum([len(s) for s in streams])
         page = np.searchsorted(bounds, order, side="right")
@@ -204,8 +209,9 @@ def _classes(run: int):
                 keys[c] = xxhash.xxh3_128_digest("\x1f".join(streams[p][at[0]:at[0] + run]).encode("utf-8", "surrogatepass"))
         return pa.table([
             pa.array([hosts[p] for _, p in rows], pa.string()), pa.array([keys[c] for c, _ in rows], pa.binary()),
-            pa.array([pages[p] for _, p in rows], pa.int64()), pa.array(list(rows.values()), pa.list_(pa.int32())),
-        ], ["host", "key", "page", "starts"])
+            pa.array([pages[p] for _, p in rows], pa.int64()), pa.array([contents[p] for _, p in rows], pa.int64()),
+            pa.array(list(rows.values()), pa.list_(pa.int32())),
+        ], ["host", "key", "page", "content", "starts"])
 
     return of
 
@@ -271,13 +277,15 @@ def _texts(run: int):
     return of
 
 
-def extract(pages: DataFrame, run: int = RUN, pages_each: int = PAGES) -> DataFrame:
+def extract(
+    pages: DataFrame, run: int = RUN, pages_each: int = PAGES, least_pages: int = LEAST_PAGES, share: float = SHARE
+) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
     Character references are decoded; white space in a block, line breaks included, is one space; blocks are joined by a line feed. A page with
     an explicit article (``article``, ``main`` or marked as such) gives all of the article's text without what its
-    markup sets apart; other pages give their plain blocks without the runs that another page of the host repeats.
-    Rows with the same id, address and content are one page, so a page never makes a run of its own repeated.
+    markup sets apart; other pages give their plain blocks without the runs of ``run`` words that stand on ``least_pages`` pages of the host
+    or more, and on ``share`` of them. Pages of equal content count as one, so that copies don't take each other's text.
 
     A null or empty html gives an empty text; a null address is a host of its own; a null id stays null. Other columns are
     ignored; an empty table gives no rows.
@@ -289,8 +297,11 @@ def extract(pages: DataFrame, run: int = RUN, pages_each: int = PAGES) -> DataFr
     many = rows.select(host).groupBy("host").agg(F.ceil(F.count("*") / F.lit(pages_each)).cast("int").alias("arrays"))
     dealt = tokens.join(many, "host").withColumn("array", F.pmod("page", "arrays")).drop("arrays")
     dealt = dealt.repartition("host", "array")  # or the join would leave all arrays of a host in one task
-    classes = written(dealt.groupBy("host", "array").applyInArrow(_classes(run), "host string, key binary, page long, starts array<int>"), "runs")
-    several = classes.groupBy("host", "key").agg(F.min("page").alias("a"), F.max("page").alias("b")).filter("a <> b").select("host", "key")
+    schema = "host string, key binary, page long, content long, starts array<int>"
+    classes = written(dealt.groupBy("host", "array").applyInArrow(_classes(run), schema), "runs")
+    contents = classes.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
+    held = classes.select("host", "key", "content").distinct().groupBy("host", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
+    several = held.join(contents, "host").filter(F.col("n") >= share * F.col("of")).select("host", "key")
     starts = classes.join(several, ["host", "key"]).groupBy("page").agg(F.collect_list("starts").alias("starts"))
     kind = dict(pages.dtypes)["page_id"]
     result = f"page_id {kind}, url string, text string, n_chars long"

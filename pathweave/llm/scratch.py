@@ -12,11 +12,13 @@ _own: dict[str, str] = {}
 
 
 def folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; a folder of our own only where it is unset and one machine does all, as in tests."""
     context = spark.sparkContext
     given = context.getConf().get("spark.checkpoint.dir")
     if given:
         return given.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.applicationId not in _own:
         _own[context.applicationId] = tempfile.mkdtemp(prefix="pathweave-")
     return "file://" + _own[context.applicationId]

@@ -80,3 +80,21 @@ def test_articles_in_forms_and_marked_containers(spark):
     got = extract(spark, [(i, f"http://h{i}/", page) for i, page in rows])
     text = "One two\nthree four"
     assert got == {i: "Head\n" + text if i == 9 else text for i, _ in rows}
+
+
+def test_copies_and_rare_runs_stay(spark):
+    random.seed(3)
+    words = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    chrome, quote = words(10), words(12)
+    rows, want = [], {}
+    for i in range(16):
+        own = words(40)
+        for at, copy in ((i, ""), (100 + i, "print/"), (200 + i, "mobile/")):  # each text at three addresses
+            extra = f"<p>{quote}</p>" if i < 2 else ""
+            rows.append((at, f"http://h.example/{copy}{i}", f"<div>{chrome}</div><div>{own}</div>{extra}"))
+            want[at] = own + (f"\n{quote}" if extra else "")
+    two = words(30)
+    rows += [(300, "http://two.example/a", f"<div>{two}</div>"), (301, "http://two.example/print/a", f"<div>{two}</div>")]
+    want |= {300: two, 301: two}
+    assert extract(spark, rows) == want
+    assert extract(spark, rows, share=2.0)[0] == f"{chrome}\n{want[0].split(chr(10))[0]}\n{quote}"  # no run is common enough
