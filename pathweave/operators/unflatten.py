@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import ERROR_TYPE, bind, json_string, once
+from ..functions.columns import ERROR_TYPE, bind, json_string, named, once
 from .paginate import LONGEST, NULL_BYTES
 
 # Stands for every position that no string could reach.
@@ -37,10 +37,16 @@ def unflatten(df: DataFrame, column: str = "json") -> DataFrame:
     needs as a container cannot be resolved; such rows get the error ``CONFLICT``.  Rows whose
     array gaps would take more bytes than a string can have get ``GAP``.
     """
-    df = once(df, _plan=F.when(F.col("error").isNull(), document_plan(F.col("flat"))))
-    error = F.when(F.col("error").isNull(), plan_error(F.col("_plan")))
-    df = df.withColumn("error", F.coalesce(F.col("error"), error))
-    return once(df, drop=("_plan",), **{column: F.when(F.col("error").isNull(), _written(F.col("_plan")))})
+    def written(plan: Column) -> Column:
+        def of(error: Column) -> Column:
+            return F.struct(F.when(error.isNull(), _written(plan)).alias("text"), error.alias("error"))
+
+        return bind(plan_error(plan), of)
+
+    df = once(df, _done=F.when(F.col("error").isNull(), bind(document_plan(F.col("flat")), written)))
+    error = F.coalesce("error", "_done.error")
+    kept = [named(c) for c in df.columns if c not in ("error", "_done", column)]
+    return df.select(*kept, error.alias("error"), F.col("_done.text").alias(column))
 
 
 def document_plan(flat: Column) -> Column:
