@@ -22,8 +22,8 @@ from pathweave.llm.batches import bounded
 from pathweave.llm.scratch import texts
 
 WORDS = 20
-#: Sketch cells per window and row; with two rows about one unrepeated window in twenty passes for repeated.
-_CELLS_EACH = 4
+#: Sketch cells per window and row; with two rows about one unrepeated window in seventy passes for repeated.
+_CELLS_EACH = 8
 _CHARS_A_WORD = 6
 _NULL = np.iinfo(np.int64).min
 
