@@ -138,6 +138,21 @@ def test_page_names_and_csv_columns():
             rules.csv_columns(broken)
 
 
+def test_declared_records_and_mappings():
+    schema = {"properties": {"lot": {"type": "integer"}, "mark": {"type": ["string", "null"]}, "mass": {"type": "number"}, "sealed": {"type": ["null", "boolean"]}}}
+    want = {"lot": ("lot", "bigint"), "mark": ("box.mark", "string"), "mass": ("mass", "double"), "sealed": ("sealed", "boolean")}
+    assert rules.entry_fields(schema, {"mark": "box.mark"}) == want and rules.entry_fields({}) == {}
+    for broken, paths in (({"properties": {"a": {"type": "object"}}}, {}), ({"properties": {"a": {}}}, {}), ({"properties": {"a": {"type": ["string", "integer"]}}}, {}), (schema, {"none": "x"})):
+        with pytest.raises(ValueError):
+            rules.entry_fields(broken, paths)
+    yaml = pytest.importorskip("yaml")
+    text = "# crates\nfield-mapping:\n  page: index\n  load.*.tag: \"${crates.*.mark}/${total}\"\n  load.*.kg: crates.*.mass\n"
+    assert rules.field_mapping(yaml.safe_load(text)) == {"page": "index", "load.*.tag": "${crates.*.mark}/${total}", "load.*.kg": "crates.*.mass"}
+    for broken in ({}, {"field-mapping": None}, {"field-mapping": {"a": 1}}, {"field-mapping": {"a": " "}}):
+        with pytest.raises(ValueError):
+            rules.field_mapping(broken)
+
+
 def rebuild(spark, docs):
     def kind(v):
         return "VOID" if v is None else {str: "STRING", bool: "BOOLEAN", int: "BIGINT", float: "DOUBLE"}[type(v)]

@@ -184,6 +184,14 @@ UNION ALL SELECT doc_id, p, 'rows.' || k || '.label', 'STRING', lang || ': ' ||
     "entry_rows": LINES
     + """SELECT doc_id, source AS doc_source, CAST(i AS INTEGER) AS entry_index, CAST(i AS BIGINT) AS line_no,
   CASE WHEN length(t) % 7 <> 0 THEN t END AS line_text FROM l""",
+    "entry_types": LINES
+    + """SELECT doc_id, lang AS doc_lang, CAST(i AS INTEGER) AS entry_index, CAST(i AS BIGINT) AS n, CAST(length(t) AS DOUBLE) AS length,
+  CASE WHEN length(t) % 7 <> 0 THEN t END AS text, CAST(NULL AS BOOLEAN) AS absent FROM l""",
+    "declared_mapping": LINES
+    + """SELECT doc_id, p AS page_index, 'no' AS path, 'INT' AS leaf_type, CAST(p AS VARCHAR) AS value FROM pg
+UNION ALL SELECT doc_id, p, 'of', 'INT', CAST(pages AS VARCHAR) FROM pg
+UNION ALL SELECT doc_id, p, 'body.' || k || '.words', 'STRING', t FROM l WHERE length(t) % 7 <> 0
+UNION ALL SELECT doc_id, p, 'body.' || k || '.head', 'STRING', lang || '#' || p FROM l""",
     "rebuilt_events": f"SELECT event_id, {_EVENT_JSON.replace('{kind}', 'event_type')} AS json, CAST(NULL AS VARCHAR) AS error_code FROM events",
     "rebuilt_lines": """SELECT l_orderkey, l_linenumber, l_partkey, '{"line":{"flags":["' || l_returnflag || '","' || l_linestatus ||
   '"],"n":' || l_linenumber || ',"part":{"id":' || l_partkey || ',"supplier":' || l_suppkey || '},"price":' || l_extendedprice ||

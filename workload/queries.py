@@ -14,6 +14,7 @@ from pathweave import (
     validate_items, validate_messages, validate_required, validate_split_flatten,
 )
 from pathweave.operators.flatten import FLAT_TYPE
+from pathweave.plans import rules
 
 from . import messages as m
 
@@ -219,6 +220,28 @@ def entry_rows(spark: S, d: str) -> D:
     return rows.select("doc_id", "doc_source", "entry_index", "line_no", "line_text")
 
 
+ENTRY_SCHEMA = {
+    "type": "object",
+    "properties": {"n": {"type": "integer"}, "length": {"type": "number"}, "text": {"type": ["string", "null"]}, "absent": {"type": ["null", "boolean"]}},
+}
+
+
+def entry_types(spark: S, d: str) -> D:
+    """Entries as a declared flat schema has them."""
+    rows = project_entries(
+        parse_messages(m.documents(spark, d)), "lines", header={"doc_lang": ("document.lang", "string")},
+        entry=rules.entry_fields(ENTRY_SCHEMA, {"length": "chars"}),
+    )
+    return rows.select("doc_id", "doc_lang", "entry_index", "n", "length", "text", "absent")
+
+
+MAPPING = {"field-mapping": {"no": "index", "body.*.words": "lines.*.text", "body.*.head": "${lines.*.lang}#${index}", "of": "${total}"}}
+
+
+def declared_mapping(spark: S, d: str) -> D:
+    return explode_leaves(map_fields(_document_pages(spark, d), rules.field_mapping(MAPPING)), ["doc_id", "page_index"])
+
+
 def rebuilt_events(spark: S, d: str) -> D:
     return unflatten(flatten_json(parse_messages(m.events(spark, d)))).select("event_id", "json", code())
 
@@ -327,7 +350,7 @@ QUERIES = {
         whole_messages, page_slices, array_policy, message_account, deep_leaves, typed_leaves, page_letters, later_fields, odd_page_leaves,
         entry_rejects, page_json, event_leaves, line_leaves, page_leaves,
         nulls_included, nulls_excluded, nulls_as_text, wildcard_upper, exact_upper, udf_reverse, leaf_counters,
-        mapped_fields, entry_rows, rebuilt_events, rebuilt_lines, path_conflicts, round_trip, csv_encoded,
+        mapped_fields, declared_mapping, entry_rows, entry_types, rebuilt_events, rebuilt_lines, path_conflicts, round_trip, csv_encoded,
         csv_decoded, csv_rejected, dead_letter_rows, dead_letter_json, chained_leaves, one_pass_leaves,
         flow_results, flow_rejects, flow_flat_messages,
     )
