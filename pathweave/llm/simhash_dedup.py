@@ -64,12 +64,17 @@ def block_count(distinct: int, bits: int) -> int:
     return blocks
 
 
+def block_choices(blocks: int, bits: int) -> list[list[int]]:
+    """The bits of each choice of ``blocks - bits`` blocks: fingerprints that differ in ``bits`` bits or fewer agree in one of them."""
+    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+    return [[b for c in chosen for b in range(edges[c], edges[c + 1])] for chosen in combinations(range(blocks), blocks - bits)]
+
+
 def _keys(fp: Column, blocks: int, bits: int) -> Column:
     """Array of keys: each choice of ``blocks - bits`` blocks of the fingerprint, the others masked out."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     keys = []
-    for n, chosen in enumerate(combinations(range(blocks), blocks - bits)):
-        mask = sum(((1 << (edges[c + 1] - edges[c])) - 1) << edges[c] for c in chosen)
+    for n, chosen in enumerate(block_choices(blocks, bits)):
+        mask = sum(1 << b for b in chosen)
         signed = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.struct(F.lit(n).alias("n"), fp.bitwiseAND(F.lit(signed)).alias("bits")))
     return F.array(*keys)

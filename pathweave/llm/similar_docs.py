@@ -1,9 +1,11 @@
-"""Near duplicates at a given similarity: seeded SimHash fingerprints find candidates, exact Jaccard similarity decides.
-
-One fingerprint of 64 bits can't tell a pair at similarity 0.8 (about 10 bits differ) from others by few bits. So a
-document has ``SEEDS`` of them, over its distinct shingles, and a key is a fixed choice of their bits: a pair
-whose bits agree with probability p shares one of m keys of b bits with probability 1 - (1 - p^b)^m. Keys are made
-longer as the corpus grows, and more of them, so that chance hits stay rare and recall stays.
+"""Near duplicates at a given similarity: SimHash fingerprints find candidates, exact Jaccard similarity decides.
+
+The first keys are the pigeonhole blocks of ``simhash_dedup``: whatever pair differs in ``BITS`` bits of the first
+fingerprint or fewer shares one of them for sure. That doesn't reach down to similarity 0.8, where about 10 of 64 bits
+differ, and blocks that did would be a few bits long. So a document has ``SEEDS`` fingerprints, over its distinct
+shingles, and further keys are fixed choices of the bits of all: a pair whose bits agree with probability p shares one of
+m keys of b bits with probability 1 - (1 - p^b)^m. Keys are made longer as the corpus grows, and more of them, so that
+chance hits stay rare and recall stays. What shares a key is checked by its differing bits, then by its shingles.
 """
 
 from __future__ import annotations
@@ -24,14 +26,18 @@ from pathweave.llm.batches import bounded
 from pathweave.llm.components import components
 from pathweave.llm.line_dedup import _mixed, _times
 from pathweave.llm.scratch import texts, written
-from pathweave.llm.simhash_dedup import _LOWER
+from pathweave.llm.simhash_dedup import _LOWER, block_choices, block_count
 from pathweave.llm.tiles import bucket_lists
 
 #: Fingerprints of 64 bits that a document has.
 SEEDS = 4
+#: Differing bits of the first fingerprint up to which the blocks find every pair.
+BITS = 4
+#: Blocks that the first fingerprint is cut into at least: 70 keys of 32 bits, so that chance hits stay rare, as for other keys.
+BLOCKS = 8
 #: Share of pairs at the similarity itself that no key may find, taken at the mean count of differing bits.
 MISSED = 0.001
-#: Keys of the first round, whose links join large groups before all keys are looked at.
+#: Chosen keys that the first round takes beside the blocks; its links join large groups before all keys are looked at.
 FIRST = 8
 _STEP = 0x9E3779B97F4A7C15
 _LIST = 4096
@@ -97,12 +103,21 @@ def _prints(kind: str, width: int):
     return run, f"doc_id {kind}, text_hash long, digest binary, fp array<long>"
 
 
-def _keys_of(prints: np.ndarray, first: int, count: int, size: int) -> np.ndarray:
+def bits_of_key(number: int, size: int, blocks: int) -> np.ndarray:
+    """The bits of a key: a choice of blocks of the first fingerprint, or after these ``size`` bits of all."""
+    choices = block_choices(blocks, BITS)
+    if number < len(choices):
+        return np.array(choices[number])
+    return np.random.default_rng(number - len(choices)).permutation(64 * SEEDS)[:size]
+
+
+def _keys_of(prints: np.ndarray, first: int, count: int, size: int, blocks: int) -> np.ndarray:
     """Hashes of the keys ``first`` to ``first + count`` of each row of fingerprints."""
     bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(len(prints), -1), axis=1).astype(np.float64)
     choose = np.zeros((bits.shape[1], count))
     for i in range(count):
-        choose[np.random.default_rng(first + i).permutation(bits.shape[1])[:size], i] = 2.0 ** np.arange(size)
+        chosen = bits_of_key(first + i, size, blocks)
+        choose[chosen, i] = 2.0 ** np.arange(len(chosen))
     numbers = np.arange(first, first + count, dtype=np.uint64)
     return _mixed(_mixed((bits @ choose).astype(np.uint64)) + numbers * np.uint64(_STEP))  # exact: sizes are under 53
 
@@ -111,24 +126,24 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("fp").flatten().to_numpy(zero_copy_only=False).reshape(-1, SEEDS)
 
 
-def _key_sketch(first: int, count: int, size: int, cells: int):
+def _key_sketch(first: int, count: int, size: int, blocks: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 4096):
-                hashes = _keys_of(_matrix(batch.slice(at, 4096)), first, count, size).reshape(-1)
+                hashes = _keys_of(_matrix(batch.slice(at, 4096)), first, count, size, blocks).reshape(-1)
                 yield sketch.record(sketch.payload(sketch.cell(hashes, cells), 0, 2))
 
     return run
 
 
-def _repeated_keys(bitmap, first: int, count: int, size: int, cells: int):
+def _repeated_keys(bitmap, first: int, count: int, size: int, blocks: int, cells: int):
     """``key, node, component, fp`` for the keys that the sketch saw twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 part = batch.slice(at, 4096)
-                hashes = _keys_of(_matrix(part), first, count, size).reshape(-1)
+                hashes = _keys_of(_matrix(part), first, count, size, blocks).reshape(-1)
                 hit = np.flatnonzero(sketch.test(bitmap.value, hashes, cells))
                 owner = pa.array(hit // count)
                 yield pa.RecordBatch.from_arrays(
@@ -140,14 +155,16 @@ def _repeated_keys(bitmap, first: int, count: int, size: int, cells: int):
 
 
 def close_pairs(nodes: np.ndarray, labels: np.ndarray, prints: np.ndarray, apart: int, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a list of different components that differ in ``apart`` bits or fewer: all of them, or a spanning forest."""
+    """Pairs of a list of different components that differ in ``apart`` bits, or ``BITS`` of the first fingerprint, or fewer:
+    all of them, or a spanning forest."""
     left, front = np.arange(len(nodes)), []
     while len(left):
         if not front:
             front, left = [int(left[0])], left[1:]
             continue
         i = front.pop()
-        near = left[np.bitwise_count(prints[left] ^ prints[i]).sum(axis=1) <= apart]
+        differing = np.bitwise_count(prints[left] ^ prints[i])
+        near = left[(differing[:, 0] <= BITS) | (differing.sum(axis=1) <= apart)]
         pairs = near[labels[near] != labels[i]]
         yield np.full(len(pairs), nodes[i]), nodes[pairs]
         if not every:
@@ -214,18 +231,19 @@ def _similar(similarity: float):
     return run
 
 
-def _links(docs: DataFrame, nodes: DataFrame, count: int, plan: tuple[int, int, int], width: int, similarity: float, every: bool) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, count: int, plan: tuple[int, int, int, int], width: int, similarity: float, every: bool) -> DataFrame:
     """``u, v``: pairs of ``nodes`` of different components that share a key and have the similarity."""
     spark = docs.sparkSession
-    first, stop, size = plan
+    first, stop, size, blocks = plan
     pairs = None
     at_once = max(1, sketch.MOST_CELLS // (8 * max(1, count)))  # as many keys at a time as the sketch can tell apart
-    for start in range(first, stop, at_once):
-        many = min(at_once, stop - start)
+    sure = min(stop, len(block_choices(blocks, BITS)))  # the blocks in passes of their own, so that no bitmap grows by them
+    passes = [(at, min(at_once, end - at)) for start, end in ((first, sure), (sure, stop)) for at in range(start, end, at_once)]
+    for start, many in passes:
         cells = sketch.cells_for(many * count, 8)
-        prints = nodes.select("fp").mapInArrow(_key_sketch(start, many, size, cells), sketch.PAYLOAD)
+        prints = nodes.select("fp").mapInArrow(_key_sketch(start, many, size, blocks, cells), sketch.PAYLOAD)
         twice = spark.sparkContext.broadcast(sketch.merged(prints, cells, 1, 2))
-        keyed = nodes.mapInArrow(_repeated_keys(twice, start, many, size, cells), "key long, node long, component long, fp array<long>")
+        keyed = nodes.mapInArrow(_repeated_keys(twice, start, many, size, blocks, cells), "key long, node long, component long, fp array<long>")
         rows = keyed.select("key", F.struct("node", "component", "fp").alias("member"))
         lists = bucket_lists(rows, "key", "member", _LIST)
         new = written(lists.mapInPandas(_candidates(most_apart(similarity), every), "u long, v long").distinct(), "pairs")
@@ -252,7 +270,8 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
     Two texts are linked if the Jaccard similarity of their sets of ``width``-word shingles is ``similarity`` or more;
     words are those of ``simhash_dedup``. Texts of equal words are one node; those without words are copies of each
-    other. A pair that is linked has the similarity; that each such pair is found is likely, not sure (see the README).
+    other. A pair that is linked has the similarity; that each such pair is found is sure where the first fingerprints differ in
+    ``BITS`` bits or fewer, and likely elsewhere (see the README).
     A null id sorts first. Rows that repeat id and text stay once. All columns pass through.
     """
     base = texts(docs).select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("doc_id", "text").alias("text_hash"))
@@ -265,9 +284,11 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     worded = nodes.filter("fp is not null")
     count = worded.count()
     size, keys = key_plan(count, similarity)
-    links = _links(base, worded, count, (0, FIRST, size), width, similarity, every=False)
+    blocks = max(BLOCKS, block_count(count, BITS))
+    sure = len(block_choices(blocks, BITS))
+    links = _links(base, worded, count, (0, sure + FIRST, size, blocks), width, similarity, every=False)
     joined = written(_labelled(worded, links), "joined")
-    more = _links(base, joined, count, (0, keys, size), width, similarity, every=True)
+    more = _links(base, joined, count, (0, sure + keys, size, blocks), width, similarity, every=True)
     final = _labelled(nodes, links.union(more))
     stays = final.groupBy("component").agg(F.min("first").alias("at")).select(F.col("at.id").alias("_id"), F.col("at.of").alias("_of"))
     hashed = docs.withColumn("_hash", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))

@@ -3,7 +3,10 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 import corpus_pipeline
+from pathweave.llm import similar_docs, simhash_dedup
 from tests.llm.helpers import SF, docs, table
 
 
@@ -73,3 +76,34 @@ def test_documents_against_brute_force_jaccard(spark):
     got = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
     print("kept", len(got), "brute force", len(want))
     assert set(want) <= set(got) and len(got) - len(want) <= 0.01 * len(want)
+
+
+def test_blocks_find_all_that_differ_in_few_bits():
+    rng = np.random.default_rng(3)
+    for count in (100, 200_000, 15_000_000):
+        blocks = max(similar_docs.BLOCKS, simhash_dedup.block_count(count, similar_docs.BITS))
+        keys = len(simhash_dedup.block_choices(blocks, similar_docs.BITS))
+        one = rng.integers(0, 2**63, (200, similar_docs.SEEDS), dtype=np.int64)
+        other = rng.integers(0, 2**63, one.shape, dtype=np.int64)  # nothing in common but the first fingerprint
+        other[:, 0] = one[:, 0]
+        for row in other:
+            row[0] ^= sum(1 << int(b) for b in rng.choice(63, similar_docs.BITS, replace=False))
+        a, b = (similar_docs._keys_of(x, 0, keys, 20, blocks) for x in (one, other))
+        assert (a == b).any(axis=1).all()
+        pair = np.stack([one[0], other[0]]).view(np.uint64)
+        assert sum(len(u) for u, _ in similar_docs.close_pairs(np.arange(2), np.arange(2), pair, 0, True)) == 1
+
+
+def test_blocks_alone_link_copies_with_small_changes(spark, monkeypatch):
+    monkeypatch.setattr(similar_docs, "FIRST", 0)
+    monkeypatch.setattr(similar_docs, "key_plan", lambda count, similarity: (20, 0))
+    random.seed(5)
+    rows = []
+    for i in range(40):
+        words = [f"w{random.randrange(10**6)}" for _ in range(600)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1] + ["changed"]))]
+    prints = [similar_docs._bits(similar_docs.shingles(similar_docs._words(t.encode()), 5)).view(np.uint64)[0] for _, t in rows]
+    few = {2 * i + 1 for i in range(40) if int(prints[2 * i] ^ prints[2 * i + 1]).bit_count() <= similar_docs.BITS}
+    assert len(few) > 20
+    got = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs(spark, rows), SF).collect()}
+    assert got == set(range(80)) - few
