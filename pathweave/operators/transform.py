@@ -36,7 +36,7 @@ def transform_fields(
     if count is not None:
         df = df.withColumn(count, F.coalesce(F.size(F.filter("flat", hit)), F.lit(0)))
     if batch is not None:
-        udf = over_values(batch)
+        return _through_batch(df, hit, batch)
     if udf is None:
         changed = F.transform(
             "flat", lambda e: F.when(hit(e), e.withField("value", fn(e.getField("value")))).otherwise(e)
@@ -46,20 +46,40 @@ def transform_fields(
 
 
 def over_values(fn: Callable[[pa.Array], pa.Array]) -> Callable[[Column], Column]:
-    """An Arrow UDF that hands all values of a batch of lists to ``fn`` at once; the lists keep their lengths."""
+    """An Arrow UDF that hands the values of a batch of lists of ``hit, value`` to ``fn`` at once, those of hits only.
+
+    It gives lists of equal lengths with what ``fn`` made of a hit at its place, and nulls at the others.
+    """
 
     @F.arrow_udf("array<string>")
     def call(lists: pa.Array) -> pa.Array:
-        values = fn(lists.flatten())
+        leaves = lists.flatten()
+        hits = leaves.field("hit")
+        values = leaves.field("value").filter(hits)
+        made = pc.cast(fn(values), pa.string())
+        if len(made) != len(values):
+            raise ValueError(f"{len(values)} values became {len(made)}")
+        nth = pc.subtract(pc.cumulative_sum(pc.cast(hits, pa.int64())), 1)
+        placed = made.take(pc.if_else(hits, nth, pa.scalar(None, pa.int64())))
         ends = pc.cumulative_sum(pc.cast(pc.list_value_length(lists), pa.int32()))
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-        if len(values) != offsets[-1].as_py():
-            raise ValueError(f"{offsets[-1].as_py()} values became {len(values)}")
-        return pa.ListArray.from_arrays(offsets, pc.cast(values, pa.string()))
+        return pa.ListArray.from_arrays(pa.concat_arrays([pa.array([0], pa.int32()), ends]), placed)
 
     return call
 
 
+def _through_batch(df: DataFrame, hit: Callable[[Column], Column], batch: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    # a new value comes back at the place of its leaf, so nothing has to be looked up or merged
+    columns = df.columns
+    marked = F.transform("flat", lambda e: F.struct(F.coalesce(hit(e), F.lit(False)).alias("hit"), e.getField("value").alias("value")))
+    df = once(df, _old=F.coalesce(marked, F.array().cast("array<struct<hit:boolean,value:string>>")))
+    df = df.withColumn("_new", over_values(batch)(F.col("_old")))
+    changed = F.zip_with(
+        F.zip_with("flat", "_old", lambda e, o: F.struct(e.alias("e"), o.getField("hit").alias("hit"))), "_new",
+        lambda z, new: F.when(z.getField("hit"), z.getField("e").withField("value", new)).otherwise(z.getField("e")),
+    )
+    return once(df, drop=("_old", "_new"), flat=F.when(F.col("flat").isNotNull(), changed)).select(*columns)
+
+
 def _through_udf(df: DataFrame, hit: Callable[[Column], Column], udf: Callable[[Column], Column]) -> DataFrame:
     # Python cannot run inside a lambda: hand over the matching values of a row as one array
     # and put the results back by their position.

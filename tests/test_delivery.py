@@ -139,6 +139,19 @@ def test_one_call_for_the_values_of_a_batch(spark):
         transform_fields(flat, ["a.*.t"], batch=lambda values: values[1:]).collect()
 
 
+def test_a_batch_of_values_is_put_back_without_sorting(spark):
+    leaves = [("a.0", "STRING", "x"), ("a.1", "BIGINT", "1"), ("a.2", "STRING", None), ("b", "STRING", "y"), ("a.3", None, "z"), ("a.4", "STRING", "")]
+    rows = [(leaves, 1), (None, 2), ([], 3), ([None, *leaves[::-1]], 4)]
+    df = spark.createDataFrame(rows, f"flat {FLAT_TYPE}, id int").withColumn("error", F.lit(None).cast("struct<code:string,message:string>"))
+    calls = {"a.*": lambda v: pc.binary_join_element_wise(v, pa.scalar("!"), ""), "none": lambda v: v}
+    for pattern, fn in calls.items():
+        done = transform_fields(df, [pattern], batch=fn)
+        changed = lambda e: (e[0], e[1], e[2] + "!" if pattern == "a.*" and e[0] != "b" and e[1] == "STRING" and e[2] is not None else e[2])  # noqa: E731, B023
+        got = {r.id: r.flat if r.flat is None else [tuple(e) if e else None for e in r.flat] for r in done.collect()}
+        assert got == {1: [changed(e) for e in leaves], 2: None, 3: [], 4: [None, *(changed(e) for e in leaves[::-1])]}
+    assert "sort_array" not in done._jdf.queryExecution().toString()
+
+
 def test_many_columns_and_rules_take_one_look(spark):
     n = 60
     leaves = [(f"c{i}", "STRING", f"v{i}") for i in range(n)]
