@@ -103,9 +103,8 @@ def _prints(kind: str, width: int):
     return run, f"doc_id {kind}, text_hash long, digest binary, fp array<long>"
 
 
-def bits_of_key(number: int, size: int, blocks: int) -> np.ndarray:
+def bits_of_key(number: int, size: int, choices: list[list[int]]) -> np.ndarray:
     """The bits of a key: a choice of blocks of the first fingerprint, or after these ``size`` bits of all."""
-    choices = block_choices(blocks, BITS)
     if number < len(choices):
         return np.array(choices[number])
     return np.random.default_rng(number - len(choices)).permutation(64 * SEEDS)[:size]
@@ -114,9 +113,9 @@ def bits_of_key(number: int, size: int, blocks: int) -> np.ndarray:
 def _keys_of(prints: np.ndarray, first: int, count: int, size: int, blocks: int) -> np.ndarray:
     """Hashes of the keys ``first`` to ``first + count`` of each row of fingerprints."""
     bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8).reshape(len(prints), -1), axis=1).astype(np.float64)
-    choose = np.zeros((bits.shape[1], count))
+    choose, choices = np.zeros((bits.shape[1], count)), block_choices(blocks, BITS)
     for i in range(count):
-        chosen = bits_of_key(first + i, size, blocks)
+        chosen = bits_of_key(first + i, size, choices)
         choose[chosen, i] = 2.0 ** np.arange(len(chosen))
     numbers = np.arange(first, first + count, dtype=np.uint64)
     return _mixed(_mixed((bits @ choose).astype(np.uint64)) + numbers * np.uint64(_STEP))  # exact: sizes are under 53
@@ -247,6 +246,7 @@ def _links(docs: DataFrame, nodes: DataFrame, count: int, plan: tuple[int, int,
         rows = keyed.select("key", F.struct("node", "component", "fp").alias("member"))
         lists = bucket_lists(rows, "key", "member", _LIST)
         new = written(lists.mapInPandas(_candidates(most_apart(similarity), every), "u long, v long").distinct(), "pairs")
+        twice.unpersist()
         pairs = new if pairs is None else pairs.union(new)
     pairs = pairs.distinct()
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
@@ -255,6 +255,7 @@ def _links(docs: DataFrame, nodes: DataFrame, count: int, plan: tuple[int, int,
     bitmap = spark.sparkContext.broadcast(sketch.merged(wanted.select("digest").mapInArrow(_node_sketch(cells), sketch.PAYLOAD), cells, 1, 1))
     found = docs.select("text").mapInArrow(_wanted_sets(bitmap, cells, width), "digest binary, shingles array<long>").dropDuplicates(["digest"])
     sets = written(wanted.join(found, "digest").select("node", "shingles"), "shingles")
+    bitmap.unpersist()
     a, b = sets.toDF("u", "a"), sets.toDF("v", "b")
     return written(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_similar(similarity), "u long, v long"), "links")
 
