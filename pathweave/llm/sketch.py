@@ -74,7 +74,18 @@ def _merge(least: int):
     return run
 
 
-def merged(payloads: DataFrame, cells: int, rows: int, least: int) -> list[np.ndarray]:
+class Bitmaps(list):
+    """Packed bitmaps, one for each sketch row; they travel compressed, as a broadcast lies on the disks of the driver and all executors."""
+
+    def __reduce__(self):
+        return _unpacked, ([zstandard.ZstdCompressor(level=1).compress(x) for x in self],)
+
+
+def _unpacked(packed: list[bytes]) -> Bitmaps:
+    return Bitmaps(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.uint8) for x in packed)
+
+
+def merged(payloads: DataFrame, cells: int, rows: int, least: int) -> Bitmaps:
     """For each sketch row the packed bitmap of the cells hit ``least`` times or more (bounded by ``MOST_CELLS``)."""
     per_row = cells // CHUNK
     parts = max(1, min(rows * per_row, int(payloads.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
@@ -88,7 +99,7 @@ def merged(payloads: DataFrame, cells: int, rows: int, least: int) -> list[np.nd
     del payloads, chunks
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return [out[r * per_row:(r + 1) * per_row].reshape(-1) for r in range(rows)]
+    return Bitmaps(out[r * per_row:(r + 1) * per_row].reshape(-1) for r in range(rows))
 
 
 def test(bitmaps: list[np.ndarray], hashes: np.ndarray, cells: int) -> np.ndarray:

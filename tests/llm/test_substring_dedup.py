@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -64,3 +65,14 @@ def test_a_sketch_loses_no_repeated_hash_even_when_full(spark):
         assert sketch.test(bitmaps, twice, cells).all()
         if n == 1000:
             assert sketch.test(bitmaps, hashes, cells).mean() < 0.2
+
+
+def test_bitmaps_travel_compressed(spark):
+    hashes = np.random.default_rng(7).integers(0, 2**63, 200_000, dtype=np.uint64)
+    cells = sketch.cells_for(len(hashes), 8)
+    rows = [tuple(x) for r in range(2) for x in sketch.payload(sketch.cell(hashes, cells, r), r * cells // sketch.CHUNK, 2)]
+    bitmaps = sketch.merged(spark.createDataFrame([(c, w, bytearray(g)) for c, w, g in rows], sketch.PAYLOAD), cells, 2, 2)
+    assert any(b.any() for b in bitmaps)
+    sent = pickle.dumps(bitmaps)
+    assert len(sent) < sum(b.nbytes for b in bitmaps) // 3
+    assert all((a == b).all() for a, b in zip(pickle.loads(sent), bitmaps, strict=True))
