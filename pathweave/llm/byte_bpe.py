@@ -12,7 +12,9 @@ import hashlib
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +31,10 @@ from pathweave.llm.scratch import texts
 #: One space between two characters that are no white space: the pattern always splits before it.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _ADJACENT = re.compile(r"\s\s")
+#: After a space, Latin letters are one pre-token and marks behind them another; all other stretches go to the pattern.
+_PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+#: Stretches of a text whose places are put together at a time.
+_AT_ONCE = 1 << 16
 #: Bytes of text in a block.
 _BLOCK = 4 << 20
 _MEMO = 500_000
@@ -48,6 +54,24 @@ def _pattern() -> regex.Pattern:
     return regex.compile(own.replace(r"(?!\S)", rf"(?!\P{{White_Space}})").replace(r"\s", space))
 
 
+def _split_after_space(parts: Iterable[str], pattern: regex.Pattern) -> tuple[list[str], list[int]]:
+    """What the pattern finds in each part with a space before it, one after the other, and how many in each."""
+    found, sizes = [], []
+    for part in parts:
+        if part.isascii() and part.isalpha():
+            found.append(" " + part)
+            sizes.append(1)
+        elif plain := _PLAIN.fullmatch(part):
+            letters, marks = plain.groups()
+            found += (" " + letters, marks) if marks else (" " + letters,)
+            sizes.append(2 if marks else 1)
+        else:
+            own = pattern.findall(" " + part)
+            found += own
+            sizes.append(len(own))
+    return found, sizes
+
+
 class _Block:
     """Distinct pre-tokens of some texts, in order, and the places of each text's pre-tokens among them.
 
@@ -56,20 +80,34 @@ class _Block:
     """
 
     def __init__(self, texts_: list[str], pattern: regex.Pattern) -> None:
-        self._cut = [_BETWEEN.split(t) if _ADJACENT.search(t) or t[:1].isspace() or t[-1:].isspace() else t.split(" ") for t in texts_]
-        after = set().union(*(c[1:] for c in self._cut))
-        self._first = {c[0]: pattern.findall(c[0]) for c in self._cut}
-        self._after = {part: pattern.findall(" " + part) for part in after}
-        found = (x for stretches in (self._first, self._after) for x in stretches.values())
-        self.words = sorted(set().union(*found))
+        number: defaultdict[str, int] = defaultdict(count().__next__)  # of a stretch, by its first place
+        first: defaultdict[str, int] = defaultdict(count().__next__)
+        self._at = []
+        for t in texts_:
+            cut = _BETWEEN.split(t) if _ADJACENT.search(t) or t[:1].isspace() or t[-1:].isspace() else t.split(" ")
+            self._at.append((first[cut[0]], np.fromiter(map(number.__getitem__, cut[1:]), dtype="<u4", count=len(cut) - 1)))
+        own = [pattern.findall(part) for part in first]
+        found, sizes = _split_after_space(number, pattern)
+        self._found, self._n_first = [*chain.from_iterable(own), *found], len(own)
+        self._sizes = np.array([len(x) for x in own] + sizes, dtype=np.int64)
+        self.words = sorted(set(self._found))
 
     def places(self) -> list[np.ndarray]:
         of = {w: i for i, w in enumerate(self.words)}
-        first, after = (
-            {part: array("I", [of[w] for w in found]).tobytes() for part, found in stretches.items()}
-            for stretches in (self._first, self._after)
-        )
-        return [np.frombuffer(first[c[0]] + b"".join(map(after.__getitem__, c[1:])), dtype="<u4") for c in self._cut]
+        sizes = self._sizes
+        starts = np.cumsum(sizes) - sizes
+        words = np.fromiter(map(of.__getitem__, self._found), dtype="<u4", count=len(self._found))
+
+        def of_text(first: int, after: np.ndarray) -> np.ndarray:
+            out = [words[starts[first]:starts[first] + sizes[first]]]
+            for begin in range(0, len(after), _AT_ONCE):
+                at = after[begin:begin + _AT_ONCE].astype(np.int64) + self._n_first
+                size = sizes[at]
+                ends = np.cumsum(size)
+                out.append(words[np.arange(ends[-1]) + np.repeat(starts[at] - ends + size, size)])
+            return np.concatenate(out)
+
+        return [of_text(*at) for at in self._at]
 
     def encoded(self) -> list[bytes]:
         return [w.encode("utf-8", "surrogatepass") for w in self.words]
@@ -179,9 +217,8 @@ def _places(shards: int):
     return run
 
 
-def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Ids of the documents of one block: the answers by word, taken in the order of each document's places."""
-    docs, ids = [], []
+def _word_tables(left: pa.Table, right: pa.Table) -> Iterator[tuple[list, list[bytes], list[np.ndarray]]]:
+    """For each block its documents' ids, the answers by word, and the places of each document's words among them."""
     of = {s: (n, data) for s, n, data in zip(*(right.column(c).to_pylist() for c in ("shard", "count", "ids")), strict=True)}
     columns = (left.column(c).to_pylist() for c in ("doc_ids", "sizes", "places", "shards"))
     for doc_ids, sizes, packed, owners in zip(*columns, strict=True):
@@ -195,10 +232,15 @@ def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
             for i, word in zip(order[at:at + count], _unpack(data, count), strict=True):
                 table[i] = word
             at += count
-        places = _numbers(packed)
-        for doc, end, size in zip(doc_ids, np.cumsum(sizes).tolist(), sizes, strict=True):
-            docs.append(doc)
-            ids.append(b"".join(map(table.__getitem__, places[end - size:end].tolist())))
+        yield doc_ids, table, np.split(_numbers(packed), np.cumsum(sizes)[:-1])
+
+
+def _assembled(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Ids of the documents of one block: the answers by word, taken in the order of each document's places."""
+    docs, ids = [], []
+    for doc_ids, table, places in _word_tables(left, right):
+        docs += doc_ids
+        ids += [b"".join(map(table.__getitem__, p.tolist())) for p in places]
     return pa.table([pa.array(docs, left.schema.field("doc_ids").type.value_type), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
 
@@ -252,31 +294,37 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return rows.mapInArrow(_decoded(_token_table(encoded, path)), f"doc_id {kind}, ids binary, bytes binary")
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts_: dict[int, str] = {}  # of the ids that occur; as many as the vocabulary at most
-    for batch in bounded(batches, "ids"):
-        counts, hashes = [], []
-        for x in batch.column("ids").to_pylist():
-            ids = np.frombuffer(x, dtype="<u4").tolist()
-            texts_.update((i, str(i)) for i in set(ids) if i not in texts_)
-            counts.append(len(ids))
-            hashes.append(hashlib.sha256(" ".join(map(texts_.__getitem__, ids)).encode()).hexdigest())
-        decoded = [hashlib.sha256(x).hexdigest() for x in batch.column("bytes").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)],
+def _digested(table):
+    """Digests of one block's documents; the ids of a word are looked up in the token-byte table once a block."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        token = table.value
+        docs, counts, hashes, decoded = [], [], [], []
+        for doc_ids, answers, places in _word_tables(left, right):
+            ids = [np.frombuffer(x, dtype="<u4").tolist() for x in answers]
+            digits = {i: b" %d" % i for i in set(chain.from_iterable(ids))}
+            said = [b"".join(map(digits.__getitem__, x)) for x in ids]
+            read = [b"".join(map(token.__getitem__, x)) for x in ids]
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            docs += doc_ids
+            for p in places:
+                at = p.tolist()
+                counts.append(int(sizes[p].sum()))
+                hashes.append(hashlib.sha256(memoryview(b"".join(map(said.__getitem__, at)))[1:]).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(map(read.__getitem__, at))).hexdigest())
+        return pa.table(
+            [pa.array(docs, left.schema.field("doc_ids").type.value_type), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
+    return run
+
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of the bytes that they decode to.
 
     The same as the digests of ``decode(encode(docs))``, but a block is put together, decoded and digested in one Python step.
     """
-    decoded = _decoded(_token_table(docs, path))
-
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(_digests(decoded(iter(_assembled(left, right).to_batches(max_chunksize=1000))))))
-
     kind = dict(docs.dtypes)["doc_id"]
+    finish = _digested(_token_table(docs, path))
     return _in_blocks(docs, path, finish, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

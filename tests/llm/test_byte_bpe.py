@@ -42,3 +42,21 @@ def test_encode_then_decode(spark):
     out = byte_bpe.decode(byte_bpe.encode(docs(spark, rows))).collect()
     assert sorted(((r.doc_id, bytes(r.bytes).decode()) for r in out), key=str) == sorted(((d, t or "") for d, t in rows), key=str)
     assert byte_bpe.decode(spark.createDataFrame([(5, None)], "doc_id long, ids binary")).first().bytes == b""
+
+
+def test_plain_stretches_skip_the_pattern():
+    pattern, calls = byte_bpe._pattern(), []
+
+    class Counted:
+        def findall(self, text):
+            calls.append(text)
+            return pattern.findall(text)
+
+    random.seed(7)
+    parts = ["".join(random.choice("aeé×÷Ÿß.,;:!?'s-1\n漢") for _ in range(random.randrange(1, 7))) for _ in range(20_000)] + ["Wort", "élan", "ende.", "so?!"]
+    found, sizes = byte_bpe._split_after_space(parts, Counted())
+    want_ = [pattern.findall(" " + p) for p in parts]
+    assert found == [w for x in want_ for w in x] and sizes == [len(x) for x in want_]
+    assert not {" Wort", " élan", " ende.", " so?!"} & set(calls)
+    block = byte_bpe._Block(["so so, it is.", "", "so\u00a0 x", "it"], pattern)
+    assert [[block.words[i] for i in p] for p in block.places()] == [pattern.findall(t) for t in ("so so, it is.", "", "so\u00a0 x", "it")]
