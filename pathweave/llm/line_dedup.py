@@ -9,7 +9,7 @@ that hold are joined by distributed union-find.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,10 @@ BANDS, ROWS = 8, 4
 #: The signature's values come from so many hash functions, each split into bins; an empty bin borrows from the next.
 FUNCTIONS = 2
 _LIST = 4096
+#: Lists of so many lines at most are compared as sets of Python, many lists at a time.
+_SHORT = 16
+#: Characters worked on at a time, few enough that the work arrays stay in a core's cache.
+_AT_ONCE = 1 << 17
 _STEP = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(_STEP), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -71,7 +75,7 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(h[inside]), np.repeat(np.arange(len(lines)), counts - SHINGLE + 1)
 
 
-def signatures(lines: list[str], most: int = 1 << 19) -> np.ndarray:
+def signatures(lines: list[str], most: int = _AT_ONCE) -> np.ndarray:
     """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line.
 
     The work arrays hold about ``most`` characters at a time, or those of one longer line.
@@ -130,7 +134,10 @@ def _lines_pass(kind: str):
                         keys.append(key)
                         new.append(first.setdefault(key, (len(first), line))[0] if key not in first else None)
             bands = signatures([line for _, line in first.values()]).view(np.int64) if first else None
-            rows = pa.array([None if i is None else bands[i] for i in new], pa.list_(pa.int64()))
+            old = np.array([i is None for i in new], dtype=bool)  # the others take their bands in order
+            offsets = np.concatenate(([0], np.cumsum(~old) * BANDS)).astype(np.int32)
+            flat = pa.array(bands.reshape(-1) if first else [], pa.int64())
+            rows = pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array(old))
             take = pa.array(docs, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("text_hash").take(take), pa.array(numbers, pa.int32()),
@@ -222,11 +229,52 @@ def similar_edges(lines: list[str]) -> tuple[list[int], list[int]]:
     return u, v
 
 
+def short_edges(lists: list[list[str]]) -> Iterator[tuple[list[int], list[int]]]:
+    """What ``similar_edges`` gives for each list, with the shingles of all lists hashed at once."""
+    lines = [line for contents in lists for line in contents]
+    hashes, owner = shingle_hashes(lines)
+    stops = np.cumsum(np.bincount(owner, minlength=len(lines))).tolist()
+    values = hashes.tolist()
+    sets = (set(values[a:b]) for a, b in zip([0, *stops[:-1]], stops, strict=True))
+    for contents in lists:
+        own = [next(sets) for _ in contents]
+        left, front, u, v = list(range(len(own))), [], [], []
+        while left:
+            i = front.pop() if front else left.pop(0)
+            found = []
+            for j in left:
+                both = len(own[i] & own[j])
+                if both >= SIMILARITY * (len(own[i]) + len(own[j]) - both):
+                    found.append(j)
+            front += found
+            u += [i] * len(found)
+            v += found
+            left = [j for j in left if j not in found]
+        yield u, v
+
+
+def _edges(lists: Iterable[list[str]]) -> Iterator[tuple[list[int], list[int]]]:
+    """The links of each list, in order."""
+    waiting, size = [], 0
+    for contents in lists:
+        chars = sum(map(len, contents))
+        short = len(contents) <= _SHORT and chars <= _AT_ONCE
+        if waiting and not (short and size + chars <= _AT_ONCE):
+            yield from short_edges(waiting)
+            waiting, size = [], 0
+        if short:
+            waiting.append(contents)
+            size += chars
+        else:
+            yield similar_edges(contents)
+    if waiting:
+        yield from short_edges(waiting)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         u, v = [], []
-        for keys, contents in zip(batch.column("keys").to_pylist(), batch.column("contents").to_pylist(), strict=True):
-            first, second = similar_edges(contents)
+        for keys, (first, second) in zip(batch.column("keys").to_pylist(), _edges(batch.column("contents").to_pylist()), strict=True):
             u += [keys[i] for i in first]
             v += [keys[i] for i in second]
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
@@ -258,7 +306,7 @@ def _rebuilt(names: list[str]):
             for text, kept in zip(batch.column("text").to_pylist(), batch.column("_kept").to_pylist(), strict=True):
                 stays, total, gone, out = set(kept or ()), 0, 0, []
                 for n, line in enumerate(text.split("\n")):
-                    full = bool(line.split())
+                    full = line != "" and not line.isspace()
                     total += full
                     if not full or n in stays:
                         out.append(line)

@@ -92,3 +92,17 @@ def test_banding_finds_similar_lines():
     assert n > 200 and hit / n > 0.97
     assert line_dedup.signatures(["a", "a", "b"]).shape == (3, line_dedup.BANDS)
     assert (np.diff(line_dedup.signatures(["a", "a"]).astype(np.float64), axis=0) == 0).all()
+
+
+def test_short_lists_are_hashed_together_and_give_the_same_links(monkeypatch):
+    random.seed(8)
+    lists = []
+    for _ in range(60):
+        words = [f"w{random.randrange(500)}" for _ in range(random.randrange(1, 40))]
+        lists.append([" ".join("other" if random.random() < 0.03 else w for w in words) for _ in range(random.choice([1, 2, 2, 2, 3, 7, 30]))])
+    lists.append(["long " * 40_000, "long " * 39_000])
+    want, calls, hashed = [line_dedup.similar_edges(x) for x in lists], [], line_dedup.shingle_hashes
+    assert sum(len(u) for u, _ in want) > 20
+    monkeypatch.setattr(line_dedup, "shingle_hashes", lambda lines: calls.append(1) or hashed(lines))
+    assert [(list(u), list(v)) for u, v in line_dedup._edges(lists)] == [(list(u), list(v)) for u, v in want]
+    assert len(calls) < len(lists) // 2
