@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bind, named, once, with_error
 from .paginate import PageNames
 from .parse import message_text
+from .shapes import leaves_of
 
 INCLUDE = "INCLUDE"
 EXCLUDE = "EXCLUDE"
@@ -36,14 +37,18 @@ _NODES = "array<array<struct<path:string,v:variant,at:array<int>,kids:array<stru
 def flatten_json(df: DataFrame, nulls: str = INCLUDE) -> DataFrame:
     """Add ``flat`` with the leaves of ``v``; empty containers leave no trace.
 
-    Where several fields have one path (keys with dots), the later one in the text of ``value`` wins.  Without
-    a ``value`` that order is unknown and the row gets the error ``CONFLICT``.
+    A ``value`` beside it is the text that ``v`` was parsed from.  Where several fields have one path (keys with dots), the later one
+    in that text wins; without a ``value`` the order is unknown and the row gets the error ``CONFLICT``.
     """
+    _check_policy(nulls)
     v = F.col("v")
-    df = once(df, _found=F.when(F.col("error").isNull(), _quick(F.lit(""), v, nulls)))
+    # most messages are done a batch at a time, the others by expressions
+    plain = leaves_of(F.when(F.col("error").isNull(), _text_of(df)), nulls, NULL_POLICIES)
     roots = F.array(F.struct(F.lit("").alias("path"), v.alias("v"), _text_of(df).alias("text")))
     slow = document_leaves(roots, F.to_json(v), nulls)
-    return _with_flat(df, ("v", "_found"), F.when(_is_done(F.col("_found")), _bare(F.col("_found"))).otherwise(slow))
+    found = bind(_quick(F.lit(""), v, nulls), lambda found: F.when(_is_done(found), _bare(found)).otherwise(slow))
+    df = once(df.withColumn("_plain", plain), drop=("v",), _found=F.when(F.col("error").isNull() & F.col("_plain").isNull(), found))
+    return _marked(df.withColumn("flat", F.coalesce("_plain", "_found")).drop("_plain", "_found"))
 
 
 def flatten_pages(pages: DataFrame, names: PageNames, nulls: str = INCLUDE) -> DataFrame:
@@ -94,7 +99,10 @@ def _text_of(df: DataFrame) -> Column:
 
 
 def _with_flat(df: DataFrame, sources: Sequence[str], flat: Column) -> DataFrame:
-    df = once(df, drop=sources, flat=F.when(F.col("error").isNull(), flat))
+    return _marked(once(df, drop=sources, flat=F.when(F.col("error").isNull(), flat)))
+
+
+def _marked(df: DataFrame) -> DataFrame:
     unknown = F.col("error").isNull() & F.col("flat").isNull()
     return with_error(df, "CONFLICT", F.when(unknown, F.lit("Several fields flatten to the same path")))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ERROR_TYPE, bind, json_string, named, once
 from .paginate import LONGEST, NULL_BYTES
+from .shapes import text_of
 
 # Stands for every position that no string could reach.
 _BEYOND = 2**40
@@ -43,10 +44,12 @@ def unflatten(df: DataFrame, column: str = "json") -> DataFrame:
 
         return bind(plan_error(plan), of)
 
-    df = once(df, _done=F.when(F.col("error").isNull(), bind(document_plan(F.col("flat")), written)))
+    # most rows are done a batch at a time, the others by expressions
+    df = df.withColumn("_plain", text_of(F.when(F.col("error").isNull(), F.col("flat"))))
+    df = once(df, _done=F.when(F.col("error").isNull() & F.col("_plain").isNull(), bind(document_plan(F.col("flat")), written)))
     error = F.coalesce("error", "_done.error")
-    kept = [named(c) for c in df.columns if c not in ("error", "_done", column)]
-    return df.select(*kept, error.alias("error"), F.col("_done.text").alias(column))
+    kept = [named(c) for c in df.columns if c not in ("error", "_plain", "_done", column)]
+    return df.select(*kept, error.alias("error"), F.coalesce("_plain", "_done.text").alias(column))
 
 
 def document_plan(flat: Column) -> Column:
