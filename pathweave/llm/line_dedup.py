@@ -29,11 +29,17 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: The signature's values come from so many hash functions, each split into bins; an empty bin borrows from the next.
 FUNCTIONS = 2
+#: Bins are a power of two, so that a bin is the upper bits of a hash.
+_BIN_BITS = (BANDS * ROWS // FUNCTIONS).bit_length() - 1
 _LIST = 4096
 #: Lists of so many lines at most are compared as sets of Python, many lists at a time.
 _SHORT = 16
-#: Characters worked on at a time, few enough that the work arrays stay in a core's cache.
+#: Characters compared at a time, and signed at a time: few enough that the work arrays stay in a core's cache.
 _AT_ONCE = 1 << 17
+_SIGNED = 1 << 15
+#: All white space other than blanks and line feeds.
+_ODD_SPACES = "".join(c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n")
+_ODD_ASCII = "".join(c for c in _ODD_SPACES if c.isascii())
 _STEP = 0x9E3779B97F4A7C15
 _MIX = (np.uint64(_STEP), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -42,6 +48,14 @@ def normalised(line: str) -> str:
     return " ".join(line.split()).lower()
 
 
+def normalised_lines(text: str) -> list[str]:
+    """``normalised`` of every line of the text."""
+    if any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD_SPACES)):
+        return [normalised(line) for line in text.split("\n")]
+    # only blanks can be too many here; few lines have two in a row
+    return [" ".join(line.split()) if "  " in line else line.strip(" ") for line in text.lower().split("\n")]
+
+
 def line_key(line: str) -> bytes:
     return hashlib.md5(line.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
 
@@ -51,9 +65,15 @@ def _times(factor: int, n: int) -> np.uint64:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= _MIX[1]
+    shifted = y >> np.uint64(27)
+    y ^= shifted
+    y *= _MIX[2]
+    np.right_shift(y, np.uint64(31), out=shifted)
+    y ^= shifted
+    return y
 
 
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +83,10 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """
     counts = np.maximum(np.array([len(x) for x in lines], dtype=np.int64), SHINGLE)
     padded = "".join(x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines)
-    h = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    if padded.isascii():
+        h = np.frombuffer(padded.encode("ascii"), dtype=np.uint8).astype(np.uint64)
+    else:
+        h = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     factor, span = _STEP, 1
     while span < SHINGLE:  # hash of 2, 4, 8 characters from each place
         h = h[:-span] * np.uint64(factor) + h[span:]
@@ -75,7 +98,7 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(h[inside]), np.repeat(np.arange(len(lines)), counts - SHINGLE + 1)
 
 
-def signatures(lines: list[str], most: int = _AT_ONCE) -> np.ndarray:
+def signatures(lines: list[str], most: int = _SIGNED) -> np.ndarray:
     """A row of ``BANDS`` 64-bit band hashes for each normalised, non-empty line.
 
     The work arrays hold about ``most`` characters at a time, or those of one longer line.
@@ -94,10 +117,10 @@ def signatures(lines: list[str], most: int = _AT_ONCE) -> np.ndarray:
 def _signatures(lines: list[str]) -> np.ndarray:
     h, owner = shingle_hashes(lines)
     bins = BANDS * ROWS // FUNCTIONS
-    out = []
+    base, out = owner * bins, []
     for f in range(FUNCTIONS):
         mixed = _mixed(h + _times(_STEP, f + 1)) if f else h
-        place = owner * bins + ((mixed >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+        place = base + (mixed >> np.uint64(64 - _BIN_BITS)).view(np.int64)
         least = np.full(len(lines) * bins, np.uint64(0xFFFFFFFFFFFFFFFF))
         np.minimum.at(least, place, mixed * _MIX[2])
         least = least.reshape(-1, bins)
@@ -111,30 +134,27 @@ def _signatures(lines: list[str]) -> np.ndarray:
             empty = empty & ~use
         out.append(least)
     values = np.concatenate(out, axis=1)  # a band takes its values from all functions in turn
-    bands = np.zeros((len(lines), BANDS), dtype=np.uint64)
-    for b in range(BANDS):
-        mixed = np.full(len(lines), _times(_STEP, b + 1))
-        for r in range(ROWS):
-            mixed = _mixed(mixed ^ values[:, (r * bins + r // FUNCTIONS * BANDS + b) % values.shape[1]]) + _MIX[0]
-        bands[:, b] = mixed
+    bands = np.tile(np.array([_times(_STEP, b + 1) for b in range(BANDS)]), (len(lines), 1))
+    for r in range(ROWS):
+        bands = _mixed(bands ^ values[:, (r * bins + r // FUNCTIONS * BANDS + np.arange(BANDS)) % values.shape[1]]) + _MIX[0]
     return bands
 
 
 def _lines_pass(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
-            docs, numbers, keys, new, first = [], [], [], [], {}
+            docs, numbers, keys, old, first = [], [], [], [], {}
             for d, text in enumerate(batch.column("text").to_pylist()):
-                for n, line in enumerate(text.split("\n")):
-                    line = normalised(line)
+                for n, line in enumerate(normalised_lines(text)):
                     if line:
                         key = line_key(line)
                         docs.append(d)
                         numbers.append(n)
                         keys.append(key)
-                        new.append(first.setdefault(key, (len(first), line))[0] if key not in first else None)
-            bands = signatures([line for _, line in first.values()]).view(np.int64) if first else None
-            old = np.array([i is None for i in new], dtype=bool)  # the others take their bands in order
+                        old.append(key in first)
+                        first.setdefault(key, line)
+            bands = signatures(list(first.values())).view(np.int64) if first else None
+            old = np.array(old, dtype=bool)  # the others take their bands in order
             offsets = np.concatenate(([0], np.cumsum(~old) * BANDS)).astype(np.int32)
             flat = pa.array(bands.reshape(-1) if first else [], pa.int64())
             rows = pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array(old))
@@ -187,8 +207,7 @@ def _wanted_lines(bitmap, cells: int):
         for batch in bounded(batches, "text"):
             found = {}
             for text in batch.column("text").to_pylist():
-                for line in text.split("\n"):
-                    line = normalised(line)
+                for line in normalised_lines(text):
                     if line:
                         found[line_key(line)] = line
             keys = list(found)
@@ -312,7 +331,7 @@ def _rebuilt(names: list[str]):
                         out.append(line)
                     else:
                         gone += 1
-                texts.append("\n".join(out))
+                texts.append("\n".join(out) if gone else text)
                 totals.append(total)
                 removed.append(gone)
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64()),

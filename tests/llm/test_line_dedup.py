@@ -106,3 +106,17 @@ def test_short_lists_are_hashed_together_and_give_the_same_links(monkeypatch):
     monkeypatch.setattr(line_dedup, "shingle_hashes", lambda lines: calls.append(1) or hashed(lines))
     assert [(list(u), list(v)) for u, v in line_dedup._edges(lists)] == [(list(u), list(v)) for u, v in want]
     assert len(calls) < len(lists) // 2
+
+
+def test_lines_of_a_text_are_normalised_at_once():
+    texts = ["", "\n", " A  b \nc\td\n", "x\r\ny", "É  Σ \naΣ\xa0b Σ\n　İ", "a\x1cb\x85c", "plain\n two  blanks \n\n"]
+    assert [line_dedup.normalised_lines(t) for t in texts] == [[line_dedup.normalised(x) for x in t.split("\n")] for t in texts]
+
+
+def test_signatures_stay_in_the_cache(monkeypatch):
+    """Pieces are small, and a line's signature does not depend on its piece."""
+    lines = [f"line {i} " + "ab é"[i % 4] * (i % 90) for i in range(4000)]
+    want, sizes, signed = line_dedup._signatures(lines), [], line_dedup._signatures
+    monkeypatch.setattr(line_dedup, "_signatures", lambda piece: sizes.append(sum(map(len, piece))) or signed(piece))
+    assert (line_dedup.signatures(lines) == want).all()
+    assert max(sizes) <= 1 << 15
