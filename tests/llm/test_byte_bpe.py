@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import tiktoken
 
 from pathweave.llm import byte_bpe
@@ -60,3 +62,47 @@ def test_plain_stretches_skip_the_pattern():
     assert not {" Wort", " élan", " ende.", " so?!"} & set(calls)
     block = byte_bpe._Block(["so so, it is.", "", "so\u00a0 x", "it"], pattern)
     assert [[block.words[i] for i in p] for p in block.places()] == [pattern.findall(t) for t in ("so so, it is.", "", "so\u00a0 x", "it")]
+
+
+def test_latin_stretches_are_cut_without_the_pattern():
+    pattern, calls = byte_bpe._pattern(), []
+
+    class Counted:
+        def findall(self, text):
+            calls.append(text)
+            return pattern.findall(text)
+
+    texts = ["Ende.\nDie Wörter%%% abc12.\tx9 (so?!)", "\nélan", "it's 3×4", "a\n\nb  c", "", " ", " \n", "漢字 ª", "so?! Ende.\nDie"]
+    block = byte_bpe._Block(texts, Counted())
+    assert [[block.words[i] for i in p] for p in block.places()] == [pattern.findall(t) for t in texts]
+    assert sorted(calls) == sorted(["it's", " 3×4", "漢字", " ª"])
+
+
+def test_blocks_of_odd_stretches_are_cut_as_the_pattern_does(monkeypatch):
+    random.seed(8)
+    pattern, alphabet = byte_bpe._pattern(), ["a", "É", "ß", "÷", "1", "٣", ".", "_", "'", "'s", "漢", "́", "\n", "\r", "\x1c", "\x85", " ", " ", " ", " "]
+    for at_once in (1, 5, 1 << 16):
+        monkeypatch.setattr(byte_bpe, "_AT_ONCE", at_once)
+        texts = ["".join(random.choices(alphabet, k=random.randrange(30))) for _ in range(2_000)]
+        block = byte_bpe._Block(texts, pattern)
+        words = block.words
+        assert len(set(words)) == len(words)
+        assert [[words[i] for i in p] for p in block.places()] == [pattern.findall(t) for t in texts]
+
+
+def test_steps_put_documents_together_piece_by_piece(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    table = type("Table", (), {"value": {i: token for token, i in byte_bpe.ranks(path).items()}})
+    monkeypatch.setattr(byte_bpe, "_AT_ONCE", 3)
+    monkeypatch.setattr(byte_bpe, "_REQUESTED", 2)
+    rows = [(1, ""), (2, "one two, three four five six seven"), (3, ""), (4, "x"), (5, "漢字 and two, more\n\nlines"), (6, ""), (None, "one")]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    asked = pa.Table.from_batches(byte_bpe._requests(4)(iter([batch]))).combine_chunks()
+    given = pa.Table.from_batches(byte_bpe._answers(path)(iter([*asked.slice(0, 0).to_batches(), *asked.to_batches()])))
+    blocks = pa.Table.from_batches(byte_bpe._places(4)(iter([batch])))
+    out = byte_bpe._digested(table)(blocks, given).to_pylist()
+    assert sorted((tuple(r.values()) for r in out), key=str) == want(rows)
+    ids = byte_bpe._assembled(blocks, given).to_pylist()
+    assert [len(r["ids"]) // 4 for r in ids] == [r["n_tokens"] for r in out]
+    with pytest.raises(ValueError, match="changed between two reads"):
+        byte_bpe._digested(table)(blocks, given.slice(1))
