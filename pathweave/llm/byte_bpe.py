@@ -383,7 +383,8 @@ def _in_blocks(docs: DataFrame, path: str | None, finish: Callable[[pa.Table, pa
     spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = texts(docs)
-    asked = rows.select("text").mapInArrow(_requests(shards), "shard int, block binary, count int, words binary")
+    # Both reads take the same columns: Spark ends a batch by its bytes, too, and blocks end with batches.
+    asked = rows.mapInArrow(_requests(shards), "shard int, block binary, count int, words binary")
     given = asked.repartition(shards, "shard").mapInArrow(_answers(path), "shard int, block binary, count int, ids binary")
     blocks = rows.mapInArrow(_places(shards), f"block binary, doc_ids array<{kind}>, sizes array<long>, places binary, words long")
     return blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(finish, schema)

@@ -106,3 +106,14 @@ def test_steps_put_documents_together_piece_by_piece(monkeypatch):
     assert [len(r["ids"]) // 4 for r in ids] == [r["n_tokens"] for r in out]
     with pytest.raises(ValueError, match="changed between two reads"):
         byte_bpe._digested(table)(blocks, given.slice(1))
+
+
+def test_batches_that_end_by_their_bytes(spark):
+    rows = [(i, f"word{i} some more of it, " * (i % 40)) for i in range(600)]
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "20000")
+    try:
+        assert sorted(map(tuple, byte_bpe.round_trip(docs(spark, rows).coalesce(1)).collect()), key=str) == want(rows)
+    finally:
+        spark.conf.set(limit, before)
